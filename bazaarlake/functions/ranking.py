@@ -16,7 +16,7 @@ Values must be integers (counts, cents, days). Ties share a rank, as in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Distinct values per range: the most rows one window group can hold.
@@ -102,30 +102,32 @@ def value_ranks(
 def quantile_cuts(
     df: DataFrame, value: str, groups: int, *, width: int = RANGE_WIDTH
 ) -> DataFrame:
-    """One row ``cut_2 .. cut_groups``: lowest value of each quantile group.
+    """One row, one array ``cuts``: lowest value of the groups 2 .. ``groups``.
 
-    A value belongs to group ``1 + floor(groups * rows below it / all rows)``:
-    ``ntile`` with ties kept together. A group no value starts has NULL.
+    A value belongs to group ``1 + groups * rows below it div all rows``:
+    ``ntile`` with ties kept together. A group no value reaches has NULL.
     """
     ranks = value_ranks(df, value, width=width)
-    total = ranks.agg(F.sum("row_count").alias("n")).scalar()
+    total = df.agg(F.count(value)).scalar()
     group = F.call_function("div", (F.col("rank_no") - 1) * groups, total) + 1
     return ranks.select(value, group.alias("_group")).agg(
-        *[
-            F.min(F.when(F.col("_group") >= g, F.col(value))).alias(f"cut_{g}")
-            for g in range(2, groups + 1)
-        ]
+        F.array(
+            *[
+                F.min(F.when(F.col("_group") >= g, F.col(value)))
+                for g in range(2, groups + 1)
+            ]
+        ).alias("cuts")
     )
 
 
-def quantile_group(value, cuts: DataFrame, groups: int):
-    """Group number 1..groups of ``value``, from the one-row ``cuts`` table.
+def quantile_group(value: Column, cuts: DataFrame, groups: int) -> Column:
+    """Group number 1..``groups`` of ``value``, from the one-row ``cuts`` table.
 
-    The cuts are scalar subqueries: they reach the tasks as literals, with no
-    join.
+    The cuts are one scalar subquery: the tasks see a literal, not a join.
     """
+    lowest = cuts.select("cuts").scalar()
     reached = F.lit(1)
-    for g in range(2, groups + 1):
-        cut = cuts.select(f"cut_{g}").scalar()
-        reached = reached + F.coalesce((value >= cut).cast("int"), F.lit(0))
+    for i in range(groups - 1):
+        above = (value >= lowest.getItem(i)).cast("int")
+        reached = reached + F.coalesce(above, F.lit(0))
     return F.when(value.isNotNull(), reached)
