@@ -6,12 +6,15 @@ reviews on orders, products on the translation) cannot be built without it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import contracts as c
 from bazaarlake.functions.dates import instant
 from bazaarlake.functions.text import pad_zip, spaced, tidy
+from bazaarlake.lazy import Plans
 from bazaarlake.operators.dedupe import latest_per_key
 
 ORDER_INSTANTS = (
@@ -66,10 +69,16 @@ def clean_geolocation(points: DataFrame, *, one_per_zip: bool = False) -> DataFr
     return latest_per_key(tidied, keys)
 
 
+def _known_orders(df: DataFrame, orders: DataFrame) -> DataFrame:
+    """Rows of orders that exist, columns in their own order."""
+    kept = df.join(orders.select("order_id"), "order_id", "left_semi")
+    return kept.select(*df.columns)
+
+
 def clean_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Spelled-out payment types, for known orders only."""
     relabelled = payments.replace(c.PAYMENT_TYPE_LABELS, subset=["payment_type"])
-    return relabelled.join(orders.select("order_id"), "order_id", "left_semi")
+    return _known_orders(relabelled, orders)
 
 
 def clean_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
@@ -83,17 +92,14 @@ def clean_reviews(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     )
     score = F.col("review_score")
     valid = score.isNull() | score.between(c.REVIEW_SCORE_MIN, c.REVIEW_SCORE_MAX)
-    return (
-        latest_per_key(typed, ["review_id"], newest=["review_answer_timestamp"])
-        .filter(valid)
-        .fillna(
-            {
-                "review_comment_title": c.NO_REVIEW_TITLE,
-                "review_comment_message": c.NO_REVIEW_MESSAGE,
-            }
-        )
-        .join(orders.select("order_id"), "order_id", "left_semi")
+    latest = latest_per_key(typed, ["review_id"], newest=["review_answer_timestamp"])
+    filled = latest.filter(valid).fillna(
+        {
+            "review_comment_title": c.NO_REVIEW_TITLE,
+            "review_comment_message": c.NO_REVIEW_MESSAGE,
+        }
     )
+    return _known_orders(filled, orders)
 
 
 def clean_translation(translation: DataFrame) -> DataFrame:
@@ -112,23 +118,34 @@ def clean_products(products: DataFrame, translation: DataFrame) -> DataFrame:
         spaced,
         "product_category_name",
     )
-    return named.join(translation, "product_category_name", "left").fillna(
-        {"product_category_name_english": c.UNKNOWN_CATEGORY}
+    english = "product_category_name_english"
+    translated = named.join(translation, "product_category_name", "left")
+    return translated.fillna({english: c.UNKNOWN_CATEGORY}).select(
+        *named.columns, english
     )
 
 
-def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All nine clean tables from the nine source tables, lazily."""
-    orders = clean_orders(raw["orders"])
-    translation = clean_translation(raw["category_translation"])
-    return {
-        "orders": orders,
-        "order_items": clean_order_items(raw["order_items"]),
-        "customers": clean_customers(raw["customers"]),
-        "geolocation": clean_geolocation(raw["geolocation"]),
-        "order_payments": clean_payments(raw["order_payments"], orders),
-        "order_reviews": clean_reviews(raw["order_reviews"], orders),
-        "category_translation": translation,
-        "products": clean_products(raw["products"], translation),
-        "sellers": clean_sellers(raw["sellers"]),
-    }
+def clean_all(raw: Mapping[str, DataFrame]) -> Plans:
+    """All nine clean tables from the nine source tables."""
+    clean = Plans(
+        {
+            "orders": lambda: clean_orders(raw["orders"]),
+            "customers": lambda: clean_customers(raw["customers"]),
+            "order_items": lambda: clean_order_items(raw["order_items"]),
+            "order_payments": lambda: clean_payments(
+                raw["order_payments"], clean["orders"]
+            ),
+            "order_reviews": lambda: clean_reviews(
+                raw["order_reviews"], clean["orders"]
+            ),
+            "products": lambda: clean_products(
+                raw["products"], clean["category_translation"]
+            ),
+            "sellers": lambda: clean_sellers(raw["sellers"]),
+            "geolocation": lambda: clean_geolocation(raw["geolocation"]),
+            "category_translation": lambda: clean_translation(
+                raw["category_translation"]
+            ),
+        }
+    )
+    return clean

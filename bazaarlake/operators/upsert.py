@@ -11,13 +11,21 @@ DUPLICATE_SOURCE = "several source rows match one target row on "
 MOVED_ROW = "a source row would move its target row to another partition: "
 
 
-def refuse(rows: DataFrame, message: str) -> DataFrame:
-    """``rows`` as a plan that fails with ``message`` if it has any row.
+def refuse(rows: DataFrame, message: str, like: DataFrame) -> DataFrame:
+    """No rows of ``like``'s schema, or an error at run time if ``rows`` has any.
 
-    Appended to a result with a union, it checks the data while the result is
-    computed: no extra job and nothing collected.
+    Added to a result with a union, it checks the data while the result is
+    computed: no extra job and nothing collected. The error hangs on a count,
+    so that no optimizer rule can move it below the conditions in ``rows``.
     """
-    return rows.filter(F.raise_error(F.lit(message)).isNotNull())
+    found = F.when(F.col("_n") > 0, F.raise_error(F.lit(message)))
+    return (
+        rows.agg(F.count("*").alias("_n"))
+        .filter(found.isNotNull())
+        .select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields]
+        )
+    )
 
 
 def as_target(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -49,7 +57,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         kept.select(*target.columns)
         .unionByName(rows)
         .unionByName(
-            refuse(clash.select(*target.columns), DUPLICATE_SOURCE + ", ".join(keys))
+            refuse(clash, DUPLICATE_SOURCE + ", ".join(keys), like=target)
         )
     )
 
@@ -76,7 +84,7 @@ def upsert_partitions(
     for p in partition_by:
         if p not in keys:
             changed = changed | ~F.col(p).eqNullSafe(F.col(f"_new_{p}"))
-    moved = target.join(incoming, keys).filter(changed).select(*target.columns)
+    moved = target.join(incoming, keys).filter(changed)
     return upsert(affected, rows, keys).unionByName(
-        refuse(moved, MOVED_ROW + ", ".join(partition_by))
+        refuse(moved, MOVED_ROW + ", ".join(partition_by), like=target)
     )

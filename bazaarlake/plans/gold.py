@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from bazaarlake.functions.dates import (
     days_between,
     whole_years,
 )
+from bazaarlake.lazy import Plans
 from bazaarlake.operators.schema import conform
 
 # Coordinates as decimals with 14 places: sums do not depend on their order.
@@ -155,18 +158,23 @@ def fact_order_fulfillment(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return conform(reviewed.unionByName(unreviewed), GOLD["fact_order_fulfillment"])
 
 
-def star_schema(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six star-schema tables from the clean tables, lazily."""
-    orders, points = clean["orders"], clean["geolocation"]
-    return {
-        "dim_products": dim_products(clean["products"], clean["category_translation"]),
-        "dim_sellers": dim_sellers(clean["sellers"], points),
-        "dim_customers": dim_customers(clean["customers"], points),
-        "dim_date": dim_date_of(orders),
-        "fact_sales": fact_sales(
-            clean["order_items"], orders, clean["order_payments"]
-        ),
-        "fact_order_fulfillment": fact_order_fulfillment(
-            orders, clean["order_reviews"]
-        ),
-    }
+def star_schema(clean: Mapping[str, DataFrame]) -> Plans:
+    """All six star-schema tables from the clean tables."""
+    return Plans(
+        {
+            "dim_products": lambda: dim_products(
+                clean["products"], clean["category_translation"]
+            ),
+            "dim_sellers": lambda: dim_sellers(clean["sellers"], clean["geolocation"]),
+            "dim_customers": lambda: dim_customers(
+                clean["customers"], clean["geolocation"]
+            ),
+            "dim_date": lambda: dim_date_of(clean["orders"]),
+            "fact_sales": lambda: fact_sales(
+                clean["order_items"], clean["orders"], clean["order_payments"]
+            ),
+            "fact_order_fulfillment": lambda: fact_order_fulfillment(
+                clean["orders"], clean["order_reviews"]
+            ),
+        }
+    )

@@ -7,6 +7,7 @@ sort what they show.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,7 @@ from bazaarlake.functions.money import (
     sum_cents,
     sum_money,
 )
+from bazaarlake.lazy import Plans
 from bazaarlake.operators.schema import conform
 
 
@@ -212,15 +214,21 @@ def kpi_summary(fact_sales: DataFrame, fact_fulfillment: DataFrame) -> DataFrame
     )
 
 
-def all_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All four marts from the star schema, lazily."""
-    return {
-        "sales_summary_mart": sales_summary_mart(star["fact_sales"], star["dim_date"]),
-        "customer_mart": customer_mart(
-            star["fact_sales"], star["dim_customers"], star["dim_date"]
-        ),
-        "product_mart": product_mart(star["fact_sales"], star["dim_products"]),
-        "kpi_summary": kpi_summary(
-            star["fact_sales"], star["fact_order_fulfillment"]
-        ),
-    }
+def all_marts(star: Mapping[str, DataFrame]) -> Plans:
+    """All four marts from the star schema."""
+    return Plans(
+        {
+            "sales_summary_mart": lambda: sales_summary_mart(
+                star["fact_sales"], star["dim_date"]
+            ),
+            "customer_mart": lambda: customer_mart(
+                star["fact_sales"], star["dim_customers"], star["dim_date"]
+            ),
+            "product_mart": lambda: product_mart(
+                star["fact_sales"], star["dim_products"]
+            ),
+            "kpi_summary": lambda: kpi_summary(
+                star["fact_sales"], star["fact_order_fulfillment"]
+            ),
+        }
+    )

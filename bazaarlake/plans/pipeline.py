@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from bazaarlake.contracts import GOLD, PLATINUM, RAW
+from bazaarlake.lazy import Plans
 from bazaarlake.operators.cleaning import clean_all
 from bazaarlake.plans.gold import star_schema
 from bazaarlake.plans.marts import all_marts
@@ -22,8 +23,8 @@ FACT_CLUSTERS = {
 }
 
 
-def _read_layer(lake: Lake, layer: str, names) -> dict:
-    return {name: lake.read(layer, name) for name in names}
+def _read_layer(lake: Lake, layer: str, names) -> Plans:
+    return Plans({n: lambda n=n: lake.read(layer, n) for n in names})
 
 
 def build_silver(lake: Lake, names: Sequence[str] = ()) -> dict[str, int]:
@@ -37,16 +38,16 @@ def build_gold(
     """Star schema from silver; facts partitioned by month and clustered."""
     star = star_schema(_read_layer(lake, "silver", RAW))
     counts = {}
-    for name, df in star.items():
-        if names and name not in names:
-            continue
+    for name in names or star:
         if partitioned and name in FACT_CLUSTERS:
-            laid_out = clustered(with_period(df), FACT_PARTITIONS, FACT_CLUSTERS[name])
+            laid_out = clustered(
+                with_period(star[name]), FACT_PARTITIONS, FACT_CLUSTERS[name]
+            )
             counts[name] = lake.write(
                 laid_out, "gold", name, partition_by=FACT_PARTITIONS
             )
         else:
-            counts[name] = lake.write(df, "gold", name)
+            counts[name] = lake.write(star[name], "gold", name)
     return counts
 
 
@@ -56,5 +57,5 @@ def build_platinum(lake: Lake, names: Sequence[str] = ()) -> dict[str, int]:
     return lake.write_all(marts, "platinum", names)
 
 
-def mart_tables(lake: Lake) -> dict:
+def mart_tables(lake: Lake) -> Plans:
     return _read_layer(lake, "platinum", PLATINUM)

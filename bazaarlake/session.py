@@ -51,3 +51,10 @@ def durable(df, label: str = "cut"):
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system ``path`` names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    location = hadoop.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.contracts import RAW, Contract
 from bazaarlake.operators.quality import row_counts, validate_counts
 from bazaarlake.operators.upsert import upsert
-from bazaarlake.session import durable
+from bazaarlake.session import durable, path_exists
 from bazaarlake.sources.layers import Lake
 
-# Header row, quoted fields may span lines, a doubled quote is a quote.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"'}
+# Header row, quoted fields may span lines, a doubled quote is a quote. Columns
+# are read by position; a header that differs from the contract is an error.
+CSV_OPTIONS = {
+    "header": "true",
+    "multiLine": "true",
+    "escape": '"',
+    "enforceSchema": "false",
+}
 
 STATUS_DDL = """table_name string, status string, new_rows bigint,
                 total_rows bigint, error string"""
@@ -87,15 +92,11 @@ def incremental_load(
 
     def load_one(contract: Contract):
         path = f"{folder}/{file_name.format(table=contract.name)}"
-        try:
-            rows = read_csv(lake.spark, path, contract)
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return "NO FILE", 0, None
-            raise
+        if not path_exists(lake.spark, path):
+            return "NO FILE", 0, None
         # Written once: the upsert reads it more than once, and its measured
         # size lets Spark decide whether to broadcast it.
-        fresh = durable(rows, "increment")
+        fresh = durable(read_csv(lake.spark, path, contract), "increment")
         new_rows = fresh.count()
         if not new_rows:
             return "NO ROWS", 0, None

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.contracts import LAYERS
+from bazaarlake.session import path_exists
 
 DELTA_EXTENSION = "io.delta.sql.DeltaSparkSessionExtension"
 
@@ -40,20 +40,11 @@ class Lake:
         return self.spark.read.format(self.table_format(layer)).load(path)
 
     def exists(self, layer: str, table: str) -> bool:
-        """Whether the table can be resolved; reads no data."""
-        try:
-            self.read(layer, table)
-        except AnalysisException as missing:
-            if missing.getCondition() in (
-                "PATH_NOT_FOUND",
-                "UNABLE_TO_INFER_SCHEMA",
-                "DELTA_TABLE_NOT_FOUND",
-                "DELTA_MISSING_DELTA_TABLE",
-                "DELTA_PATH_DOES_NOT_EXIST",
-            ):
-                return False
-            raise
-        return True
+        """Whether the table was ever written; reads no data."""
+        path = self.path(layer, table)
+        if self.table_format(layer) == "delta":
+            path = f"{path}/_delta_log"
+        return path_exists(self.spark, path)
 
     def write(
         self,
@@ -87,8 +78,8 @@ class Lake:
         self, tables: Mapping[str, DataFrame], layer: str, names: Sequence[str] = ()
     ) -> dict[str, int]:
         return {
-            name: self.write(df, layer, name)
-            for name, df in tables.items()
+            name: self.write(tables[name], layer, name)
+            for name in tables
             if not names or name in names
         }
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlake.lazy import Plans
+
 _INSTANT_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # Sample prices are divided by this to fall around the spending tiers.
@@ -259,5 +261,7 @@ TABLES = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in TABLES.items()}
+def raw_tables(spark: SparkSession, sf_dir: str) -> Plans:
+    return Plans(
+        {n: lambda build=build: build(spark, sf_dir) for n, build in TABLES.items()}
+    )
