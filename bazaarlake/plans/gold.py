@@ -15,6 +15,7 @@ from bazaarlake.functions.dates import (
     days_between,
     whole_years,
 )
+from bazaarlake.functions.money import round2
 from bazaarlake.lazy import Plans
 from bazaarlake.operators.schema import conform
 
@@ -90,7 +91,7 @@ def dim_date_of(orders: DataFrame) -> DataFrame:
 def order_payment_totals(payments: DataFrame) -> DataFrame:
     """Payments per order, summed before any join so that no line repeats them."""
     return payments.groupBy("order_id").agg(
-        F.round(F.sum("payment_value"), 2).alias("total_payment_value")
+        round2(F.sum("payment_value")).alias("total_payment_value")
     )
 
 
@@ -102,7 +103,10 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame) -> Data
     split by AQE in both joins.
     """
     head = orders.select(
-        "order_id", "customer_id", "order_status", "order_purchase_timestamp"
+        "order_id",
+        "customer_id",
+        "order_status",
+        date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key"),
     )
     lines = items.join(head, "order_id").join(
         order_payment_totals(payments), "order_id", "left"
@@ -115,10 +119,10 @@ def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame) -> Data
         "seller_id",
         "customer_id",
         "order_status",
-        date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key"),
-        F.round(price, 2).alias("price"),
-        F.round(freight, 2).alias("freight_value"),
-        F.round(price + freight, 2).alias("total_item_value"),
+        "purchase_date_key",
+        round2(price).alias("price"),
+        round2(freight).alias("freight_value"),
+        round2(price + freight).alias("total_item_value"),
         "total_payment_value",
     )
 

@@ -27,13 +27,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    made = tempfile.mkdtemp(prefix="bazaarlake-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    """The cluster's shared checkpoint folder.
+
+    Only a session that names none (a local test) gets a private folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlake-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
