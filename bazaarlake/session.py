@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings only, so they can be applied to a session that the
 # caller already started. A join key that holds a large share of the rows is
@@ -45,7 +47,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df, label: str = "cut"):
+def durable(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage the way a reliable checkpoint does and, being a plain
@@ -57,8 +59,27 @@ def durable(df, label: str = "cut"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _location(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system ``path`` names."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    location = hadoop.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    files, location = _location(spark, path)
+    return files.exists(location)
+
+
+@contextmanager
+def passing(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``durable(df)`` for the length of a ``with`` block.
+
+    The copy is removed when the block succeeds. If it fails the copy stays,
+    so that a result whose final write broke off is not lost.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    files, location = _location(spark, path)
+    files.delete(location, True)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from bazaarlake.contracts import RAW, Contract
 from bazaarlake.operators.quality import row_counts, validate_counts
-from bazaarlake.operators.upsert import upsert
-from bazaarlake.session import durable, path_exists
+from bazaarlake.session import passing, path_exists
 from bazaarlake.sources.layers import Lake
+from bazaarlake.sources.merge import merge
 
 # Header row, quoted fields may span lines, a doubled quote is a quote. Columns
 # are read by position; a header that differs from the contract is an error.
@@ -96,37 +96,15 @@ def incremental_load(
             return "NO FILE", 0, None
         # Written once: the upsert reads it more than once, and its measured
         # size lets Spark decide whether to broadcast it.
-        fresh = durable(read_csv(lake.spark, path, contract), "increment")
-        new_rows = fresh.count()
-        if not new_rows:
-            return "NO ROWS", 0, None
-        return ("MERGED", new_rows, merge(lake, contract, fresh))
+        with passing(read_csv(lake.spark, path, contract), "increment") as fresh:
+            new_rows = fresh.count()
+            if not new_rows:
+                return "NO ROWS", 0, None
+            return "MERGED", new_rows, merge(lake, contract, fresh)
 
     return _run(lake.spark, tables, load_one)
 
 
-def merge(lake: Lake, contract: Contract, fresh: DataFrame) -> int:
-    """Upsert ``fresh`` into a bronze table and return its row count."""
-    if not lake.exists("bronze", contract.name):
-        return lake.write(fresh, "bronze", contract.name)
-    if lake.table_format("bronze") == "delta":
-        return _delta_merge(lake, contract, fresh)
-    merged = upsert(lake.read("bronze", contract.name), fresh, contract.keys)
-    return lake.write(durable(merged, "merged"), "bronze", contract.name)
-
-
-def _delta_merge(lake: Lake, contract: Contract, fresh: DataFrame) -> int:
-    """The same through the table format's own transaction."""
-    target = f"delta.`{lake.path('bronze', contract.name)}`"
-    on = " AND ".join(f"t.{k} = s.{k}" for k in contract.keys)
-    lake.spark.sql(
-        f"""MERGE INTO {target} t USING {{source}} s ON {on}
-            WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *""",
-        source=fresh,
-    )
-    return lake.read("bronze", contract.name).count()
-
-
 def validate_layer(
     lake: Lake,
     layer: str,

@@ -15,48 +15,77 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bazaarlake.contracts import Contract
-from bazaarlake.session import durable
-from bazaarlake.sources.csv_drop import CSV_OPTIONS, merge
+from bazaarlake.operators.upsert import refuse
+from bazaarlake.session import passing
+from bazaarlake.sources.csv_drop import CSV_OPTIONS
 from bazaarlake.sources.layers import Lake
+from bazaarlake.sources.merge import merge
 
+# Age and name of the file a row came from: the order files take effect in.
+FILE = "_file"
 
-def read_drops(lake: Lake, folder: str, contract: Contract) -> DataFrame:
-    """Stream of the CSV files in ``folder``, one file per batch.
 
-    One at a time, oldest first: a key that comes again in a later file
-    replaces the earlier row instead of clashing with it.
+def read_drops(
+    lake: Lake, folder: str, contract: Contract, max_files: int | None = None
+) -> DataFrame:
+    """Stream of the CSV rows in ``folder``, each with the file it came from."""
+    reader = lake.spark.readStream.schema(contract.schema).options(**CSV_OPTIONS)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    origin = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    return reader.csv(folder).select("*", origin.alias(FILE))
+
+
+def latest_file_rows(rows: DataFrame, contract: Contract) -> DataFrame:
+    """Per key, the rows of the last file that has the key.
+
+    Upserting them at once is upserting the files one after the other, but the
+    table is rewritten once per batch instead of once per file. A file that
+    repeats a key which an earlier file brought is an error, as it would be
+    for the key of a stored row.
     """
-    return (
-        lake.spark.readStream.schema(contract.schema)
-        .options(**CSV_OPTIONS)
-        .option("maxFilesPerTrigger", 1)
-        .csv(folder)
+    keys = list(contract.keys)
+    span = rows.groupBy(*keys).agg(
+        F.min(FILE).alias("_first"), F.max(FILE).alias(FILE)
+    )
+    last = rows.join(span.drop("_first"), [*keys, FILE], "left_semi")
+    repeated = (
+        last.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1")
+    ).join(span.filter(F.col("_first") < F.col(FILE)), keys, "left_semi")
+    last = last.select(*contract.columns)
+    return last.unionByName(
+        refuse(repeated, "a file repeats a key of an earlier file", like=last)
     )
 
 
 def start_upserts(
-    lake: Lake, folder: str, contract: Contract, checkpoint: str
+    lake: Lake,
+    folder: str,
+    contract: Contract,
+    checkpoint: str,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Upsert all files not seen before into the bronze table, then stop.
 
-    Rows without a complete key match nothing, so repeating a batch would add
-    them twice; they go to ``<table>_rejects`` instead.
+    ``max_files`` bounds the files of one batch. Rows without a complete key
+    match nothing, so repeating a batch would add them twice; they go to
+    ``<table>_rejects`` instead.
     """
     has_key = reduce(
         lambda a, b: a & b, [F.col(k).isNotNull() for k in contract.keys]
     )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = durable(batch, f"batch-{batch_id}")
-        lake.write(
-            rows.filter(~has_key),
-            "bronze",
-            f"{contract.name}_rejects/batch_id={batch_id}",
-        )
-        merge(lake, contract, rows.filter(has_key))
+        with passing(batch, f"batch-{batch_id}") as rows:
+            lake.write(
+                rows.filter(~has_key).drop(FILE),
+                "bronze",
+                f"{contract.name}_rejects/batch_id={batch_id}",
+            )
+            merge(lake, contract, latest_file_rows(rows.filter(has_key), contract))
 
     return (
-        read_drops(lake, folder, contract)
+        read_drops(lake, folder, contract, max_files)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

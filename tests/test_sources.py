@@ -10,7 +10,7 @@ from bazaarlake import cli
 from bazaarlake.contracts import PLATINUM, RAW
 from bazaarlake.operators.upsert import upsert
 from bazaarlake.plans import pipeline, views
-from bazaarlake.session import durable, path_exists, scratch_path
+from bazaarlake.session import durable, passing, path_exists, scratch_path
 from bazaarlake.sources import catalog
 from bazaarlake.sources.csv_drop import (
     LoadError,
@@ -20,6 +20,7 @@ from bazaarlake.sources.csv_drop import (
     validate_layer,
 )
 from bazaarlake.sources.layers import clustered, with_period
+from bazaarlake.sources.merge import merge_partitions
 from bazaarlake.streaming.drops import start_upserts
 
 FILES = {
@@ -176,6 +177,37 @@ def test_dynamic_overwrite_keeps_other_partitions(lake, spark):
     assert sorted(lake.read("gold", "t").collect()) == [(1, 1), (3, 1), (10, 0)]
 
 
+def test_merge_rewrites_only_partitions_with_new_rows(lake, spark, table):
+    ddl = "k int, v string, p int"
+    stored = table(ddl, (1, "old", 0), (2, "kept", 0), (3, "other", 1))
+    lake.write(stored, "gold", "t", partition_by=["p"])
+
+    def files():
+        return {f for f in lake.read("gold", "t").inputFiles() if "/p=1/" in f}
+
+    before = files()
+    fresh = table(ddl, (1, "new", 0), (9, "added", 2))
+    assert merge_partitions(lake, "gold", "t", fresh, ["k"], ["p"]) == 3
+    assert sorted(lake.read("gold", "t").collect()) == [
+        (1, "new", 0),
+        (2, "kept", 0),
+        (3, "other", 1),
+        (9, "added", 2),
+    ]
+    assert files() == before
+
+
+def test_passing_copy_goes_on_success_and_stays_on_failure(spark):
+    with passing(spark.range(3), "t") as rows:
+        (kept,) = {os.path.dirname(f) for f in rows.inputFiles()}
+        assert path_exists(spark, kept)
+    assert not path_exists(spark, kept)
+    with pytest.raises(RuntimeError), passing(spark.range(3), "t") as rows:
+        (kept,) = {os.path.dirname(f) for f in rows.inputFiles()}
+        raise RuntimeError
+    assert path_exists(spark, kept)
+
+
 def test_durable_cuts_the_plan(spark):
     cut = durable(spark.range(3).filter("id > 0"))
     plan = cut._jdf.queryExecution().executedPlan().toString()
@@ -308,6 +340,15 @@ def test_stream_takes_the_later_of_two_waiting_files(lake, tmp_path):
     assert [r.seller_city for r in lake.read("bronze", "sellers").collect()] == ["second"]
 
 
+def test_stream_refuses_a_file_that_repeats_an_earlier_key(lake, tmp_path):
+    drops = tmp_path / "drops"
+    _write(drops, "a.csv", "s1,1310,first,SP")
+    _write(drops, "b.csv", "s1,1310,x,SP", "s1,1310,y,SP")
+    os.utime(drops / "a.csv", (1_000_000, 1_000_000))
+    with pytest.raises(Exception, match="earlier file"):
+        _run_stream(lake, drops, tmp_path)
+
+
 def test_stream_sets_rows_without_key_aside(lake, tmp_path):
     drops = tmp_path / "drops"
     _write(drops, "a.csv", "s1,1310,x,SP", ",1311,lost,SP")
