@@ -8,6 +8,7 @@ the session time zone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import types as T
 
@@ -22,7 +23,7 @@ class Contract:
     ddl: str
     keys: tuple[str, ...] = ()
 
-    @property
+    @cached_property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)
 

@@ -9,13 +9,10 @@ orphans, repeated reviews, scores out of range, missing categories.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlake.lazy import Plans
 
-_INSTANT_TEXT = "yyyy-MM-dd HH:mm:ss"
-
 # Sample prices are divided by this to fall around the spending tiers.
 PRICE_SCALE = 3000
 
@@ -44,192 +41,168 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SAMPLE_DDL[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+def _text(x: str) -> str:
+    return f"CAST({x} AS STRING)"
 
 
-def _plus_days(instant: Column, days: Column) -> Column:
-    return F.date_add(instant.cast("date"), days.cast("int")).cast("timestamp_ntz")
+def _plus_days(instant: str, days: str) -> str:
+    return f"CAST(date_add({instant}, CAST({days} AS INT)) AS TIMESTAMP_NTZ)"
 
 
-def _instant_text(instant: Column) -> Column:
-    return F.date_format(instant, _INSTANT_TEXT)
+def _instant_text(instant: str) -> str:
+    return f"date_format({instant}, 'yyyy-MM-dd HH:mm:ss')"
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b))
+def _scaled_cents(sample_price: str) -> str:
+    return f"(CAST(rint({sample_price} * 100) AS BIGINT) DIV {PRICE_SCALE})"
 
 
-def _scaled_cents(sample_price: str) -> Column:
-    return _div(F.rint(F.col(sample_price) * 100).cast("bigint"), PRICE_SCALE)
+def _amount(cents: str) -> str:
+    return f"CAST({cents} AS DOUBLE) / 100"
 
 
-def _amount(cents: Column) -> Column:
-    return cents.cast("double") / 100
+def _struct(**fields: str) -> str:
+    body = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return f"named_struct({body})"
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, placed = F.col("o_orderkey"), F.col("o_orderdate")
-    closed = F.col("o_orderstatus") != "O"
-    return _table(spark, sf_dir, "orders").select(
-        _text(k).alias("order_id"),
-        _text(F.col("o_custkey")).alias("customer_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        placed.alias("order_purchase_timestamp"),
-        F.when(k % 97 == 5, "not recorded")
-        .otherwise(_instant_text(_plus_days(placed, F.lit(1))))
-        .alias("order_approved_at"),
-        F.when(closed, _plus_days(placed, k * 7 % 60 / 2)).alias(
-            "order_delivered_carrier_date"
-        ),
-        F.when(closed, _plus_days(placed, k * 7 % 60)).alias(
-            "order_delivered_customer_date"
-        ),
-        _instant_text(_plus_days(placed, F.lit(30))).alias(
-            "order_estimated_delivery_date"
-        ),
+    def when_closed(days: str) -> str:
+        moment = _plus_days("o_orderdate", days)
+        return f"CASE WHEN o_orderstatus <> 'O' THEN {moment} END"
+
+    approved = _instant_text(_plus_days("o_orderdate", "1"))
+    estimated = _instant_text(_plus_days("o_orderdate", "30"))
+    return _table(spark, sf_dir, "orders").selectExpr(
+        f"{_text('o_orderkey')} AS order_id",
+        f"{_text('o_custkey')} AS customer_id",
+        "o_orderstatus AS order_status",
+        "o_orderdate AS order_purchase_timestamp",
+        f"""CASE WHEN o_orderkey % 97 = 5 THEN 'not recorded' ELSE {approved} END
+            AS order_approved_at""",
+        f"{when_closed('o_orderkey * 7 % 60 DIV 2')} AS order_delivered_carrier_date",
+        f"{when_closed('o_orderkey * 7 % 60')} AS order_delivered_customer_date",
+        f"{estimated} AS order_estimated_delivery_date",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = _scaled_cents("l_extendedprice")
-    rate = F.rint(F.col("l_tax") * 100).cast("bigint")
-    return _table(spark, sf_dir, "lineitem").select(
-        _text(F.col("l_orderkey")).alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _text(F.col("l_partkey")).alias("product_id"),
-        _text(F.col("l_suppkey")).alias("seller_id"),
-        _instant_text(F.col("l_shipdate")).alias("shipping_limit_date"),
-        _amount(price).alias("price"),
-        _amount(_div(price * rate, 100)).alias("freight_value"),
+    freight = f"({price} * CAST(rint(l_tax * 100) AS BIGINT) DIV 100)"
+    return _table(spark, sf_dir, "lineitem").selectExpr(
+        f"{_text('l_orderkey')} AS order_id",
+        "l_linenumber AS order_item_id",
+        f"{_text('l_partkey')} AS product_id",
+        f"{_text('l_suppkey')} AS seller_id",
+        f"{_instant_text('l_shipdate')} AS shipping_limit_date",
+        f"{_amount(price)} AS price",
+        f"{_amount(freight)} AS freight_value",
     )
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full payments, split payments (every 5th order) and orphan payments."""
-    k = F.col("o_orderkey")
     due = _scaled_cents("o_totalprice")
-    first = F.when(k % 5 == 0, _div(due * 60, 100)).otherwise(due)
-    kind = F.element_at(
-        F.array(*map(F.lit, ("credit_card", "debit_card", "boleto", "not_defined"))),
-        (k % 4 + 1).cast("int"),
-    )
-
-    def payment(order_id: Column, number: int, value: Column) -> Column:
-        return F.struct(
-            order_id.alias("order_id"),
-            F.lit(number).alias("payment_sequential"),
-            kind.alias("payment_type"),
-            (k % 10 + 1).cast("int").alias("payment_installments"),
-            _amount(value).alias("payment_value"),
+    part = f"({due} * 60 DIV 100)"
+
+    def payment(order_id: str, number: int, cents: str) -> str:
+        return _struct(
+            order_id=order_id,
+            payment_sequential=str(number),
+            payment_type="""CASE o_orderkey % 4 WHEN 0 THEN 'credit_card'
+                WHEN 1 THEN 'debit_card' WHEN 2 THEN 'boleto'
+                ELSE 'not_defined' END""",
+            payment_installments="CAST(o_orderkey % 10 + 1 AS INT)",
+            payment_value=_amount(cents),
         )
 
-    known, unknown = _text(k), F.concat(F.lit("X"), _text(k))
-    rows = F.array_compact(
-        F.array(
-            payment(known, 1, first),
-            F.when(k % 5 == 0, payment(known, 2, due - first)),
-            F.when(k % 11 == 3, payment(unknown, 1, due)),
-        )
+    known, unknown = _text("o_orderkey"), "concat('X', o_orderkey)"
+    first = f"CASE WHEN o_orderkey % 5 = 0 THEN {part} ELSE {due} END"
+    return _table(spark, sf_dir, "orders").selectExpr(
+        f"""inline(array_compact(array(
+            {payment(known, 1, first)},
+            CASE WHEN o_orderkey % 5 = 0
+                 THEN {payment(known, 2, f"({due} - {part})")} END,
+            CASE WHEN o_orderkey % 11 = 3 THEN {payment(unknown, 1, due)} END)))"""
     )
-    return _table(spark, sf_dir, "orders").select(F.inline(rows))
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews of 3 in 4 orders, some repeated, some doubled, some orphaned."""
-    k, placed = F.col("o_orderkey"), F.col("o_orderdate")
 
-    def review(tag: str, score_shift: int, days_later: int) -> Column:
-        score = 1 + (k * 13 + score_shift) % 7
-        return F.struct(
-            F.when(k % 29 != 0, F.concat(F.lit("r"), _text(k), F.lit(tag))).alias(
-                "review_id"
-            ),
-            F.when(k % 31 == 0, F.concat(F.lit("X"), _text(k)))
-            .otherwise(_text(k))
-            .alias("order_id"),
-            F.when(k % 23 != 0, score.cast("int")).alias("review_score"),
-            F.when(k % 3 == 0, F.concat(F.lit("title "), _text(k % 9))).alias(
-                "review_comment_title"
-            ),
-            F.when(k % 6 == 0, F.concat(F.lit("text "), _text(k % 8))).alias(
-                "review_comment_message"
-            ),
-            _instant_text(_plus_days(placed, k % 20)).alias("review_creation_date"),
-            _instant_text(_plus_days(placed, k % 20 + k % 3 - 1 + days_later)).alias(
-                "review_answer_timestamp"
+    def review(tag: str, score_shift: int, days_later: int) -> str:
+        answered = f"o_orderkey % 20 + o_orderkey % 3 - 1 + {days_later}"
+        return _struct(
+            review_id=f"""CASE WHEN o_orderkey % 29 <> 0
+                THEN concat('r', o_orderkey, '{tag}') END""",
+            order_id=f"""CASE WHEN o_orderkey % 31 = 0 THEN concat('X', o_orderkey)
+                ELSE {_text("o_orderkey")} END""",
+            review_score=f"""CASE WHEN o_orderkey % 23 <> 0
+                THEN CAST(1 + (o_orderkey * 13 + {score_shift}) % 7 AS INT) END""",
+            review_comment_title="""CASE WHEN o_orderkey % 3 = 0
+                THEN concat('title ', o_orderkey % 9) END""",
+            review_comment_message="""CASE WHEN o_orderkey % 6 = 0
+                THEN concat('text ', o_orderkey % 8) END""",
+            review_creation_date=_instant_text(
+                _plus_days("o_orderdate", "o_orderkey % 20")
             ),
+            review_answer_timestamp=_instant_text(_plus_days("o_orderdate", answered)),
         )
 
-    rows = F.array_compact(
-        F.array(
-            review("", 0, 0),
-            F.when(k % 10 == 3, review("", 2, 4)),
-            F.when(k % 12 == 5, review("b", 3, 1)),
-        )
-    )
-    return (
-        _table(spark, sf_dir, "orders").filter(k % 4 != 0).select(F.inline(rows))
+    reviewed = _table(spark, sf_dir, "orders").filter("o_orderkey % 4 <> 0")
+    return reviewed.selectExpr(
+        f"""inline(array_compact(array(
+            {review("", 0, 0)},
+            CASE WHEN o_orderkey % 10 = 3 THEN {review("", 2, 4)} END,
+            CASE WHEN o_orderkey % 12 = 5 THEN {review("b", 3, 1)} END)))"""
     )
 
 
+def _nation_of(spark: SparkSession, sf_dir: str, people: str, key: str) -> DataFrame:
+    nations = _table(spark, sf_dir, "nation").selectExpr(f"n_nationkey AS {key}", "n_name")
+    return _table(spark, sf_dir, people).join(nations, key)
+
+
+_CUSTOMER_ZIP = "CAST(c_custkey * 37 % 20011 AS INT)"
+_SELLER_ZIP = "CAST(s_suppkey * 53 % 20011 AS INT)"
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    zip_code = (k * 37 % 20011).cast("int")
-    nations = _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name"
-    )
-    return (
-        _table(spark, sf_dir, "customer")
-        .join(nations, "c_nationkey")
-        .select(
-            _text(k).alias("customer_id"),
-            F.concat(F.lit("u"), _text(_div(k, 2))).alias("customer_unique_id"),
-            zip_code.alias("customer_zip_code_prefix"),
-            F.concat(F.lit(" City "), _text(zip_code % 300), F.lit("  ")).alias(
-                "customer_city"
-            ),
-            F.concat(F.col("n_name"), F.lit(" ")).alias("customer_state"),
-        )
+    return _nation_of(spark, sf_dir, "customer", "c_nationkey").selectExpr(
+        f"{_text('c_custkey')} AS customer_id",
+        "concat('u', c_custkey DIV 2) AS customer_unique_id",
+        f"{_CUSTOMER_ZIP} AS customer_zip_code_prefix",
+        f"concat(' City ', {_CUSTOMER_ZIP} % 300, '  ') AS customer_city",
+        "concat(n_name, ' ') AS customer_state",
     )
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    zip_code = (k * 53 % 20011).cast("int")
-    nations = _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), "n_name"
-    )
-    return (
-        _table(spark, sf_dir, "supplier")
-        .join(nations, "s_nationkey")
-        .select(
-            _text(k).alias("seller_id"),
-            zip_code.alias("seller_zip_code_prefix"),
-            F.concat(F.lit("City "), _text(zip_code % 300)).alias("seller_city"),
-            F.upper("n_name").alias("seller_state"),
-        )
+    return _nation_of(spark, sf_dir, "supplier", "s_nationkey").selectExpr(
+        f"{_text('s_suppkey')} AS seller_id",
+        f"{_SELLER_ZIP} AS seller_zip_code_prefix",
+        f"concat('City ', {_SELLER_ZIP} % 300) AS seller_city",
+        "upper(n_name) AS seller_state",
     )
 
 
-def _category() -> Column:
-    brand = F.translate(F.lower("p_brand"), "#", "_")
-    return F.concat_ws("_", F.lower("p_type"), brand)
+_CATEGORY = "concat_ws('_', lower(p_type), translate(lower(p_brand), '#', '_'))"
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, size = F.col("p_partkey"), F.col("p_size")
-    measured = k % 19 != 0
-    return _table(spark, sf_dir, "part").select(
-        _text(k).alias("product_id"),
-        F.when(k % 17 != 0, _category()).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        (size * 10).alias("product_description_lenght"),
-        (size % 5).alias("product_photos_qty"),
-        F.when(measured, size * 250).alias("product_weight_g"),
-        F.when(measured, size + 5).alias("product_length_cm"),
-        F.when(measured, size % 10 + 1).alias("product_height_cm"),
-        F.when(measured, size % 15 + 2).alias("product_width_cm"),
+    def measured(value: str) -> str:
+        return f"CASE WHEN p_partkey % 19 <> 0 THEN {value} END"
+
+    return _table(spark, sf_dir, "part").selectExpr(
+        f"{_text('p_partkey')} AS product_id",
+        f"CASE WHEN p_partkey % 17 <> 0 THEN {_CATEGORY} END AS product_category_name",
+        "length(p_name) AS product_name_lenght",
+        "p_size * 10 AS product_description_lenght",
+        "p_size % 5 AS product_photos_qty",
+        f"{measured('p_size * 250')} AS product_weight_g",
+        f"{measured('p_size + 5')} AS product_length_cm",
+        f"{measured('p_size % 10 + 1')} AS product_height_cm",
+        f"{measured('p_size % 15 + 2')} AS product_width_cm",
     )
 
 
@@ -237,34 +210,29 @@ def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English name of every category except those of one brand."""
     return (
         _table(spark, sf_dir, "part")
-        .filter(F.col("p_brand") != "Brand#7")
-        .select(_category().alias("product_category_name"))
+        .filter("p_brand <> 'Brand#7'")
+        .selectExpr(f"{_CATEGORY} AS product_category_name")
         .distinct()
-        .select(
+        .selectExpr(
             "product_category_name",
-            F.concat(F.lit("en_"), F.col("product_category_name")).alias(
-                "product_category_name_english"
-            ),
+            "concat('en_', product_category_name) AS product_category_name_english",
         )
     )
 
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two points (one of them twice) around 7 in 8 customers' zips."""
-    k = F.col("c_custkey")
-    zip_code = (k * 37 % 20011).cast("int")
-    shift = F.explode(F.array(F.lit(0), F.lit(1), F.lit(1)))
     shifted = (
-        _table(spark, sf_dir, "customer").filter(k % 8 != 0).select("*", shift.alias("i"))
+        _table(spark, sf_dir, "customer")
+        .filter("c_custkey % 8 <> 0")
+        .selectExpr("c_custkey", "explode(array(0, 1, 1)) AS i")
     )
-    return shifted.select(
-        zip_code.alias("geolocation_zip_code_prefix"),
-        (-(k * 7919 % 330000 + F.col("i")) / 10000.0).alias("geolocation_lat"),
-        (-(k * 10473 % 740000 + F.col("i")) / 10000.0).alias("geolocation_lng"),
-        F.concat(F.lit("CITY "), _text(zip_code % 300), F.lit(" ")).alias(
-            "geolocation_city"
-        ),
-        F.concat(F.lit(" St"), _text(zip_code % 27)).alias("geolocation_state"),
+    return shifted.selectExpr(
+        f"{_CUSTOMER_ZIP} AS geolocation_zip_code_prefix",
+        "CAST(-(c_custkey * 7919 % 330000 + i) AS DOUBLE) / 10000 AS geolocation_lat",
+        "CAST(-(c_custkey * 10473 % 740000 + i) AS DOUBLE) / 10000 AS geolocation_lng",
+        f"concat('CITY ', {_CUSTOMER_ZIP} % 300, ' ') AS geolocation_city",
+        f"concat(' St', {_CUSTOMER_ZIP} % 27) AS geolocation_state",
     )
 
 
