@@ -44,13 +44,18 @@ def _sales_measures() -> dict[str, F.Column]:
 
 
 def sales_summary_mart(
-    fact_sales: DataFrame, dim_date: DataFrame, *, payments_once: bool = False
+    fact_sales: DataFrame,
+    dim_date: DataFrame,
+    *,
+    densify: bool = False,
+    payments_once: bool = False,
 ) -> DataFrame:
     """Sales per calendar day, with growth against the previous present day.
 
-    Days outside the calendar are dropped. ``total_payment`` adds the order's
-    payment once per line, as the fact holds it; with ``payments_once`` a
-    column ``total_payment_orders`` counts each order once.
+    Days outside the calendar are dropped. With ``densify`` growth is against
+    the day before, and NULL if that day had no sales. ``total_payment`` adds
+    the order's payment once per line, as the fact holds it; with
+    ``payments_once`` a column ``total_payment_orders`` counts each order once.
     """
     m = _sales_measures()
     daily = fact_sales.groupBy("purchase_date_key").agg(
@@ -62,15 +67,14 @@ def sales_summary_mart(
         m["avg_price"].alias("avg_item_price"),
         m["freight"].alias("total_freight"),
     )
-    dated = daily.join(
-        dim_date, daily["purchase_date_key"] == dim_date["date_key"]
-    ).drop("date_key")
+    days = dim_date.withColumnRenamed("date_key", "purchase_date_key")
+    dated = daily.join(days, "purchase_date_key", "right" if densify else "inner")
     # At most one row per calendar day from here on.
+    grown = period_growth(
+        dated, "total_revenue", "purchase_date_key", output="revenue_day_growth_pct"
+    )
     mart = conform(
-        period_growth(
-            dated, "total_revenue", "purchase_date_key", output="revenue_day_growth_pct"
-        ),
-        PLATINUM["sales_summary_mart"],
+        grown.filter("total_orders IS NOT NULL"), PLATINUM["sales_summary_mart"]
     )
     if payments_once:
         once = (
@@ -146,21 +150,37 @@ def _one_row(*parts: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
 
 
-def kpi_summary(fact_sales: DataFrame, fact_fulfillment: DataFrame) -> DataFrame:
+def with_person(fact_sales: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """Sales lines with the person behind the customer id.
+
+    Where every order gets a customer id of its own, only the person shows who
+    bought again: ``kpi_summary(..., customer_key="customer_unique_id")``.
+    """
+    people = dim_customers.select("customer_id", "customer_unique_id")
+    return fact_sales.join(people, "customer_id")
+
+
+def kpi_summary(
+    fact_sales: DataFrame,
+    fact_fulfillment: DataFrame,
+    *,
+    customer_key: str = "customer_id",
+) -> DataFrame:
     """One row of headline figures.
 
     Delivery figures look at delivered orders, review figures at scored rows;
-    a row counts once per review of its order.
+    a row counts once per review of its order. Customers and repeat customers
+    are told apart by ``customer_key``.
     """
     # (customer, order) first: it serves revenue, items, customers and repeat
     # customers, and the shuffle carries one row per order and map task.
     per_customer = (
-        fact_sales.groupBy("customer_id", "order_id")
+        fact_sales.groupBy(customer_key, "order_id")
         .agg(
             sum_cents(F.col("total_item_value")).alias("spent"),
             F.count("order_item_id").alias("items"),
         )
-        .groupBy("customer_id")
+        .groupBy(customer_key)
         .agg(
             F.sum("spent").alias("spent"),
             F.sum("items").alias("items"),
@@ -171,7 +191,7 @@ def kpi_summary(fact_sales: DataFrame, fact_fulfillment: DataFrame) -> DataFrame
         # Wider than bigint: the total of all orders in cents.
         F.sum(F.col("spent").cast("decimal(28,0)")).alias("revenue"),
         F.coalesce(F.sum("items"), F.lit(0)).alias("total_items"),
-        F.count("customer_id").alias("total_customers"),
+        F.count(customer_key).alias("total_customers"),
         F.count_if(F.col("orders") > 1).alias("repeat_customer_count"),
     )
     days, delay = F.col("shipping_duration_days"), F.col("delivery_delay_days")

@@ -185,6 +185,25 @@ def sales_summary_payments_once(s: Sample) -> DataFrame:
     ).select("purchase_date_key", "total_payment", "total_payment_orders")
 
 
+@query
+def sales_summary_densified(s: Sample) -> DataFrame:
+    """Daily sales with growth against the calendar day before."""
+    return marts.sales_summary_mart(
+        s.star["fact_sales"], s.star["dim_date"], densify=True
+    )
+
+
+@query
+def kpi_summary_by_person(s: Sample) -> DataFrame:
+    """Headline figures with customers told apart by person."""
+    lines = marts.with_person(s.star["fact_sales"], s.star["dim_customers"])
+    return marts.kpi_summary(
+        durable(lines, "person-lines"),
+        s.fulfillment,
+        customer_key="customer_unique_id",
+    )
+
+
 @query(name="period_growth")
 def growth_by_status(s: Sample) -> DataFrame:
     """Month-over-month revenue growth within each order status."""

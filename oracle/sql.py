@@ -96,6 +96,44 @@ def _review(tag: str, score_shift: int, days_later: int, where: str) -> str:
         from orders where o_orderkey % 4 <> 0 and {where}"""
 
 
+def _kpi(customer: str, lines: str) -> str:
+    return f"""
+        select total_revenue, total_orders, total_items, total_customers,
+               total_sellers, total_products,
+               {_money(_half_up("revenue", "total_orders"))} as avg_order_value,
+               {_money(_half_up("revenue", "total_customers"))}
+                 as revenue_per_customer,
+               avg_delivery_time_days, avg_delivery_delay_days,
+               late_delivery_rate_pct,
+               {_money(f"10000 - {_cents('late_delivery_rate_pct')}")}
+                 as on_time_delivery_rate_pct,
+               avg_review_score, positive_review_rate_pct, total_reviews,
+               repeat_customer_count,
+               {_pct("repeat_customer_count", "total_customers")}
+                 as repeat_customer_rate_pct
+        from (select sum({_cents("total_item_value")}) as revenue,
+                     {_sum_money("total_item_value")} as total_revenue,
+                     count(distinct order_id) as total_orders,
+                     count(order_item_id) as total_items,
+                     count(distinct {customer}) as total_customers,
+                     count(distinct seller_id) as total_sellers,
+                     count(distinct product_id) as total_products
+              from {lines}) sales,
+             (select {_mean_int("shipping_duration_days")} as avg_delivery_time_days,
+                     {_mean_int("delivery_delay_days")} as avg_delivery_delay_days,
+                     {_pct("sum(is_late_delivery)", "count(*)")}
+                       as late_delivery_rate_pct
+              from fulfillment where shipping_duration_days is not null) shipping,
+             (select {_mean_int("review_score")} as avg_review_score,
+                     {_pct("count(*) filter (where review_score >= 4)", "count(*)")}
+                       as positive_review_rate_pct,
+                     count(*) as total_reviews
+              from fulfillment where review_score is not null) reviews,
+             (select count(*) as repeat_customer_count
+              from (select {customer} from {lines} group by 1
+                    having count(distinct order_id) > 1) again) repeaters"""
+
+
 CTES: dict[str, str] = {
     # ---- source tables ----
     "raw_orders": f"""
@@ -383,41 +421,7 @@ CTES: dict[str, str] = {
                      {_sum_money("freight_value")} as total_freight
               from fact_sales group by 1) sold
         join dim_products using (product_id)""",
-    "kpi": f"""
-        select total_revenue, total_orders, total_items, total_customers,
-               total_sellers, total_products,
-               {_money(_half_up("revenue", "total_orders"))} as avg_order_value,
-               {_money(_half_up("revenue", "total_customers"))}
-                 as revenue_per_customer,
-               avg_delivery_time_days, avg_delivery_delay_days,
-               late_delivery_rate_pct,
-               {_money(f"10000 - {_cents('late_delivery_rate_pct')}")}
-                 as on_time_delivery_rate_pct,
-               avg_review_score, positive_review_rate_pct, total_reviews,
-               repeat_customer_count,
-               {_pct("repeat_customer_count", "total_customers")}
-                 as repeat_customer_rate_pct
-        from (select sum({_cents("total_item_value")}) as revenue,
-                     {_sum_money("total_item_value")} as total_revenue,
-                     count(distinct order_id) as total_orders,
-                     count(order_item_id) as total_items,
-                     count(distinct customer_id) as total_customers,
-                     count(distinct seller_id) as total_sellers,
-                     count(distinct product_id) as total_products
-              from fact_sales) sales,
-             (select {_mean_int("shipping_duration_days")} as avg_delivery_time_days,
-                     {_mean_int("delivery_delay_days")} as avg_delivery_delay_days,
-                     {_pct("sum(is_late_delivery)", "count(*)")}
-                       as late_delivery_rate_pct
-              from fulfillment where shipping_duration_days is not null) shipping,
-             (select {_mean_int("review_score")} as avg_review_score,
-                     {_pct("count(*) filter (where review_score >= 4)", "count(*)")}
-                       as positive_review_rate_pct,
-                     count(*) as total_reviews
-              from fulfillment where review_score is not null) reviews,
-             (select count(*) as repeat_customer_count
-              from (select customer_id from fact_sales group by 1
-                    having count(distinct order_id) > 1) again) repeaters""",
+    "kpi": _kpi("customer_id", "fact_sales"),
     # ---- upsert inputs ----
     "known_customers": """
         select * from customers_c where cast(customer_id as bigint) % 10 <> 0""",
@@ -646,6 +650,16 @@ BODIES: dict[str, str] = {
                            max({_cents("total_payment_value")}) as paid
                     from fact_sales group by 1, 2) per_order
               group by 1) once using (purchase_date_key)""",
+    "sales_summary_densified": f"""
+        select m.* replace (case when y.total_revenue <> 0 then
+                 {_hundredths(
+                     f"({_cents('m.total_revenue')} - {_cents('y.total_revenue')}) * 100",
+                     _cents("y.total_revenue"))}
+               end as revenue_day_growth_pct)
+        from sales_mart m left join sales_mart y on y.full_date + 1 = m.full_date""",
+    "kpi_summary_by_person": _kpi(
+        "customer_unique_id", "fact_sales join dim_customers using (customer_id)"
+    ),
     "period_growth": f"""
         select order_status, period, {_money("cents")} as revenue,
                case when prev <> 0 then {_hundredths("(cents - prev) * 100", "prev")}

@@ -142,6 +142,34 @@ def test_daily_mart_drops_days_outside_the_calendar(table, calendar):
     }
 
 
+def test_densified_growth_wants_the_day_before(table, calendar):
+    fact = table(
+        FACT,
+        _line("1", 20180101, 10.0),
+        _line("2", 20180102, 15.0),
+        _line("3", 20180105, 45.0),
+    )
+    got = marts.sales_summary_mart(fact, calendar, densify=True)
+    assert {r.purchase_date_key: r.revenue_day_growth_pct for r in got.collect()} == {
+        20180101: None,
+        20180102: 50.0,
+        20180105: None,
+    }
+
+
+def test_repeat_customers_by_person(table, customers):
+    fact = table(
+        FACT, _line("1", 20180101, 10.0), _line("2", 20180102, 5.0, customer="c2")
+    )
+    lines = marts.with_person(fact, customers)
+    by_id = marts.kpi_summary(lines, table(FULFILLMENT)).first()
+    by_person = marts.kpi_summary(
+        lines, table(FULFILLMENT), customer_key="customer_unique_id"
+    ).first()
+    assert (by_id.total_customers, by_id.repeat_customer_count) == (2, 0)
+    assert (by_person.total_customers, by_person.repeat_customer_count) == (1, 1)
+
+
 @pytest.fixture
 def customers(table):
     return table(

@@ -23,6 +23,8 @@ from bazaarlake.sources.layers import clustered, with_period
 from bazaarlake.sources.merge import merge_partitions
 from bazaarlake.streaming.drops import start_upserts
 
+SELLER_HEADER = "seller_id,seller_zip_code_prefix,seller_city,seller_state"
+
 FILES = {
     "orders": """order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date
 o1,c1,delivered,2018-01-01 10:00:00,,,2018-01-05 10:00:00,2018-01-10 00:00:00
@@ -111,6 +113,21 @@ def test_failed_table_does_not_hide(lake, tmp_path):
     assert status.pop("sellers") == "FAILED" and set(status.values()) == {"LOADED"}
 
 
+def test_single_line_files_can_be_split(spark, tmp_path, rows):
+    path = tmp_path / "s.csv"
+    lines = [f"s{i},{i},a city with a rather long name {i},SP" for i in range(20_000)]
+    path.write_text("\n".join([SELLER_HEADER, *lines]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128KB")
+    try:
+        whole = read_csv(spark, str(path), RAW["sellers"])
+        split = read_csv(spark, str(path), RAW["sellers"], single_line=True)
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert rows(whole) == rows(split)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_foreign_header_is_an_error(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text("seller_city,seller_id,seller_state,seller_zip_code_prefix\na,b,c,1\n")
@@ -301,8 +318,6 @@ def test_command_line(spark, tmp_path, capsys):
 
 # ---- stream ----
 
-SELLER_HEADER = FILES["sellers"].splitlines()[0]
-
 
 def _write(folder, name, *lines):
     """Put a finished file into the drop folder in one step."""
