@@ -150,6 +150,17 @@ def _one_row(*parts: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
 
 
+# What the KPI row reads of the sales fact.
+KPI_SALES_COLUMNS = (
+    "order_id",
+    "order_item_id",
+    "customer_id",
+    "seller_id",
+    "product_id",
+    "total_item_value",
+)
+
+
 def with_person(fact_sales: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Sales lines with the person behind the customer id.
 
@@ -170,7 +181,8 @@ def kpi_summary(
 
     Delivery figures look at delivered orders, review figures at scored rows;
     a row counts once per review of its order. Customers and repeat customers
-    are told apart by ``customer_key``.
+    are told apart by ``customer_key``. The sales fact is read once per distinct
+    count, a column or two each time: pass a written table, not a plan of joins.
     """
     # (customer, order) first: it serves revenue, items, customers and repeat
     # customers, and the shuffle carries one row per order and map task.
