@@ -133,14 +133,16 @@ def delivery_by_seller_state(
 ) -> DataFrame:
     """Shipping time from seller to buyer, by state of the seller.
 
-    An order counts once per seller it has lines from.
+    An order counts once per seller it has lines from. Sums per order come
+    first: an order with many reviews and many sellers must not be multiplied
+    out.
     """
     shipped = fact_sales.select("seller_id", "order_id").distinct()
+    per_order = _delivered(fulfillment).groupBy("order_id").agg(*_delivery_sums())
     sums = (
-        _delivered(fulfillment)
-        .join(shipped, "order_id")
+        shipped.join(per_order, "order_id")
         .groupBy("seller_id")
-        .agg(*_delivery_sums())
+        .agg(*[F.sum(n).alias(n) for n in per_order.columns if n != "order_id"])
     )
     placed = sums.join(dim_sellers.select("seller_id", "seller_state"), "seller_id")
     return _delivery_rates(placed, ["seller_state"])

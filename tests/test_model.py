@@ -285,6 +285,26 @@ def test_seller_reviews_count_once_per_order(table):
     assert (got.total_orders, got.review_count, got.avg_review_score) == (2, 2, 2.5)
 
 
+def test_delivery_counts_once_per_seller_and_review(table):
+    fact = table(
+        FACT,
+        _line("1", 20180101, 10.0),
+        _line("1", 20180101, 10.0, item=2),
+        _line("2", 20180101, 1.0),
+    )
+    shipped = table(
+        FULFILLMENT,
+        _delivery("1", 1, 2, 10, 1),
+        _delivery("1", 5, 2, 10, 1),
+        _delivery("2", 4, -3, 4, 0),
+        _delivery("3", 4, -3, 4, 0),
+    )
+    dim = table(GOLD["dim_sellers"].ddl, ("s1", "city", "st", "00001", None, None))
+    (got,) = insights.delivery_by_seller_state(shipped, fact, dim).collect()
+    assert (got.deliveries, got.avg_shipping_days) == (3, 8.0)
+    assert (got.avg_delay_days, got.late_rate_pct) == (0.33, 66.67)
+
+
 def test_seller_ranks_are_dense_and_unreviewed_sellers_have_none(table):
     ddl = """seller_id string, total_orders bigint, total_revenue double,
              review_count bigint, avg_review_score double, seller_state string"""
