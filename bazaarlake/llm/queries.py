@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import codes, decontam, mixing, quality, simhash
+from bazaarlake.llm import codes, decontam, mixing, quality, simhash, substrings
 from bazaarlake.llm.oracles import ORACLES
 from bazaarlake.llm.tokens import tokenizer_path
 
@@ -28,6 +28,13 @@ def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated passages of 35 words."""
+    return substrings.repeats(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256"
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents."""
     return decontam.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -62,6 +69,7 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_codes": op2_token_codes,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_weighted_mix": op8_weighted_mix,
