@@ -37,7 +37,7 @@ def write_file(uri: str, parts) -> int:
     if isinstance(files, fs.LocalFileSystem):
         os.makedirs(os.path.dirname(path), exist_ok=True)
     size = 0
-    with files.open_output_stream(path, buffer_size=1 << 20) as out:
+    with files.open_output_stream(path, compression=None) as out:
         for part in parts:
             out.write(part)
             size += len(part)

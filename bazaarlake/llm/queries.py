@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import codes, decontam, mixing, quality, simhash, substrings
+from bazaarlake.llm import codes, decontam, mixing, quality, simhash, substrings, warc
 from bazaarlake.llm.oracles import ORACLES
 from bazaarlake.llm.tokens import tokenizer_path
 
@@ -60,6 +60,14 @@ def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back from the archives."""
+    index = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(index, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     got = quality.verdicts(_table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -73,5 +81,6 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_weighted_mix": op8_weighted_mix,
+    "op9_warc": op9_warc,
     "op10_adaptive_quality": op10_adaptive_quality,
 }
