@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import codes, decontam, mixing, quality, simhash, substrings, warc
+from bazaarlake.llm import (
+    attribution,
+    codes,
+    decontam,
+    language_model,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    warc,
+)
 from bazaarlake.llm.oracles import ORACLES
 from bazaarlake.llm.tokens import tokenizer_path
 
@@ -20,6 +31,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, and those that cross its bounds."""
+    got = attribution.count(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return got.select(
+        F.col("id").alias("doc_id"),
+        "section",
+        (F.col("end") - F.col("first")).alias("n_bytes"),
+        F.col("tokens").cast("bigint").alias("n_tokens"),
+        F.col("crossing").alias("n_crossing"),
+    )
+
+
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids written as directly addressable codes and read back, per document."""
     manifest = codes.write(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
@@ -28,6 +51,18 @@ def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict."""
+    got = secrets.scan(_table(spark, sf_dir, "documents"))
+    return got.withColumnRenamed("id", "doc_id")
+
+
+def op4_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document by the recurrent model and the base."""
+    got = language_model.scores(_table(spark, sf_dir, "documents"))
+    return got.withColumnRenamed("id", "doc_id")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated passages of 35 words."""
     return substrings.repeats(_table(spark, sf_dir, "documents")).select(
@@ -76,7 +111,10 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_section_tokens": op1_section_tokens,
     "op2_token_codes": op2_token_codes,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_gru_scores": op4_gru_scores,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_simhash_groups": op7_simhash_groups,

@@ -28,14 +28,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import binaries, session_for, written
+from bazaarlake.llm.chunks import TEXTS, chunked, texts_of
+from bazaarlake.llm.common import written
 
-CHUNK_BYTES = 8 << 20  # a chunk is closed once its texts have so many
-CHUNK_ROWS = 4096
 RANGE_WINDOWS = 4_000_000  # hashes that one range is sized for
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -128,65 +126,6 @@ def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], flags
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``chunk ids lengths size data``: a row per run of documents; a written table."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, seq = TaskContext.get().partitionId() << 32, 0
-        ids: list = []
-        texts: list[bytes] = []
-        size = 0
-
-        def close(kind: pa.DataType) -> pa.RecordBatch:
-            nonlocal seq, size
-            data = pa.Codec("zstd", compression_level=1).compress(b"".join(texts), asbytes=True)
-            row = [
-                pa.array([first + seq], pa.int64()),
-                pa.array([list(ids)], pa.list_(kind)),
-                pa.array([list(map(len, texts))], pa.list_(pa.int64())),
-                pa.array([size], pa.int64()),
-                pa.array([data], pa.binary()),
-            ]
-            seq, size = seq + 1, 0
-            ids.clear(), texts.clear()
-            names = ["chunk", "ids", "lengths", "size", "data"]
-            return pa.RecordBatch.from_arrays(row, names=names)
-
-        kind = None
-        for batch in batches:
-            kind = batch.column("id").type
-            for one, text in zip(batch.column("id").to_pylist(), binaries(batch, "text")):
-                ids.append(one)
-                texts.append(text)
-                size += len(text)
-                if size >= CHUNK_BYTES or len(ids) >= CHUNK_ROWS:
-                    yield close(kind)
-        if ids:
-            yield close(kind)
-
-    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    schema = (
-        f"chunk bigint, ids array<{id_type}>, lengths array<bigint>, size bigint, data binary"
-    )
-    return written(slim.mapInArrow(run, schema), "chunks")
-
-
-def _texts(data: bytes, size: int, lengths: list[int]) -> Iterator[bytes]:
-    """The texts of a chunk, one at a time."""
-    raw = pa.Codec("zstd").decompress(data, decompressed_size=size, asbytes=True) if size else b""
-    at = 0
-    for n in lengths:
-        yield raw[at : at + n]
-        at += n
-
-
-def _texts_of(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, Iterator[bytes]]]:
-    columns = [table.column(c).to_pylist() for c in ("chunk", "data", "size", "lengths")]
-    for chunk, data, size, lengths in zip(*columns):
-        yield chunk, _texts(data, size, lengths)
-
-
 _PACKED = "chunk bigint, part int, data binary"
 _ANSWER = "chunk bigint, part int, data binary"
 
@@ -202,7 +141,7 @@ def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def _anchors(chunks: DataFrame, block: int, ranges: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
-        for chunk, some in (x for batch in batches for x in _texts_of(batch)):
+        for chunk, some in (x for batch in batches for x in texts_of(batch)):
             entries = []
             for text in some:
                 runs = roller.runs(roller.words(text.split()), block)
@@ -223,7 +162,7 @@ def _anchors(chunks: DataFrame, block: int, ranges: int) -> DataFrame:
                 rows.append((chunk, p, _five(keys | flags)))
             yield _packed(rows)
 
-    return chunks.select("chunk", "data", "size", "lengths").mapInArrow(run, _PACKED)
+    return chunks.select(*TEXTS).mapInArrow(run, _PACKED)
 
 
 def _meet_anchors(group: pa.Table) -> pa.Table:
@@ -293,14 +232,12 @@ def repeats(
     are judged on the input. A text with fewer words than a window keeps them all.
     Repeated rows and ids are texts of their own (and so repeats). No rows give none.
     """
-    spark = session_for(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     block = (window + 1) // 2
     chunks = chunked(docs, id_col, text_col)
     size = chunks.agg(F.sum("size")).first()[0] or 0
     ranges = -(-size // (6 * RANGE_WINDOWS))  # about six bytes a word
     ranges = min(max(ranges, 8), 1 << 23)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     anchors = written(
         _anchors(chunks, block, ranges).groupBy("part").applyInArrow(_meet_anchors, _ANSWER),
         "anchors",
@@ -310,7 +247,7 @@ def repeats(
         """Candidate windows of a chunk: distinct pairs of hashes, with a flag."""
         hits = _hits_of(hits_)
         roller, found = Roller(), []
-        chunk, texts = next(_texts_of(mine), (0, ()))
+        chunk, texts = next(texts_of(mine), (0, ()))
         for text in texts if len(hits) else ():
             _, a, b = _candidates(roller, text.split(), block, window, hits, ranges)
             if len(a):
@@ -327,7 +264,7 @@ def repeats(
             rows.append((chunk, p, values[some].tobytes() + again))
         return pa.Table.from_batches([_packed(rows)])
 
-    grouped = chunks.select("chunk", "data", "size", "lengths").groupBy("chunk")
+    grouped = chunks.select(*TEXTS).groupBy("chunk")
     near = grouped.cogroup(anchors.groupBy("chunk")).applyInArrow(windows, _PACKED)
     confirmed = written(
         near.groupBy("part").applyInArrow(_meet_windows, _ANSWER), "windows"
@@ -338,7 +275,7 @@ def repeats(
         hits = np.sort(np.concatenate(lists)) if lists else _pairs(np.empty(0), np.empty(0))
         roller = Roller()
         out: list[list] = [[], [], [], [], []]
-        for text in next(_texts_of(mine))[1]:
+        for text in next(texts_of(mine))[1]:
             tokens = text.split()
             spans = _spans(roller, tokens, window, hits)
             kept, at = [], 0
