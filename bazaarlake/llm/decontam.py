@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from bazaarlake.llm.common import binaries, free_name, session_for
 
@@ -360,6 +361,7 @@ def find(
         "item": items.schema[item_id].dataType.simpleString(),
     }
     schema = HITS.format(**kinds)
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = docs.sparkSession.createDataFrame([], schema)
     for index in blocks(items, settings, item_id, item_text):
@@ -372,7 +374,11 @@ def find(
                 rows = list(zip(*hits))
                 target = [pa.array(rows[k], pa.int32()) for k in (2, 3, 4)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(rows[0])), pa.array(rows[1]), *target],
+                    [
+                        batch.column("id").take(pa.array(rows[0])),
+                        pa.array(rows[1], item_type),
+                        *target,
+                    ],
                     names=["doc_id", "item_id", "edits", "first_word", "n_words"],
                 )
 

@@ -13,7 +13,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-WINDOW = 16
+WINDOW = 16  # steps of a gradient
+LONG = 64  # steps that are scored at once
 Parameters = dict[str, np.ndarray]
 
 
@@ -47,7 +48,7 @@ def lanes(lengths: np.ndarray, most: int) -> list[np.ndarray]:
     return [np.array(out[i]) for i in np.argsort(-loads, kind="stable")]
 
 
-def windows(docs: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+def windows(docs: list[np.ndarray], most: int, width: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(inputs, targets, document) per window, each steps x lanes; -1 past a lane's end.
 
     The input of a document's first symbol is -1: state and input are zero there.
@@ -55,7 +56,7 @@ def windows(docs: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, ...
     lengths = np.array([len(d) for d in docs])
     dealt = lanes(lengths, most)
     steps = int(max(sum(lengths[d]) for d in dealt))
-    steps += -steps % WINDOW
+    steps += -steps % width
     target = np.full((len(dealt), steps), -1, np.int32)
     given, owner = target.copy(), target.copy()
     for lane, mine in enumerate(dealt):
@@ -66,9 +67,9 @@ def windows(docs: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, ...
             given[lane, at + 1 : at + n] = docs[doc][:-1]
             owner[lane, at : at + n] = doc
             at += n
-    for at in range(0, steps, WINDOW):
+    for at in range(0, steps, width):
         live = int((target[:, at] >= 0).sum())  # lanes get shorter from first to last
-        part = slice(at, at + WINDOW)
+        part = slice(at, at + width)
         yield given[:live, part].T, target[:live, part].T, owner[:live, part].T
 
 
@@ -123,11 +124,11 @@ class Network:
         logits /= logits.sum(axis=1, keepdims=True)
         return logits
 
-    def score(self, docs: list[np.ndarray], most: int = 256) -> np.ndarray:
+    def score(self, docs: list[np.ndarray], most: int) -> np.ndarray:
         """Natural log-probability of each document's symbols."""
         total = np.zeros(len(docs))
         h = np.zeros((min(most, max(len(docs), 1)), self.hidden), np.float32)
-        for given, target, owner in windows(docs, most) if docs else ():
+        for given, target, owner in windows(docs, most, LONG) if docs else ():
             states, _ = self._forward(h[: given.shape[1]], given)
             h = states[-1]
             mask = target >= 0
@@ -154,7 +155,7 @@ class Network:
                 squares[name][rows] += grad * grad
                 p[name][rows] -= rate * grad / np.sqrt(squares[name][rows] + 1e-6)
 
-        for given, target, _ in windows(docs, most) if docs else ():
+        for given, target, _ in windows(docs, most, WINDOW) if docs else ():
             states, kept = self._forward(h[: given.shape[1]], given)
             h = states[-1]
             mask = target >= 0

@@ -38,13 +38,14 @@ ADD = 0.1  # added to every count
 class Settings:
     """``head`` most frequent words get symbols; others fall in ``open_classes``."""
 
-    head: int = 2000
-    head_classes: int = 40
-    open_classes: int = 48
+    head: int = 1000
+    head_classes: int = 16
+    open_classes: int = 32
     hidden: int = 16
     rounds: int = 3
     rate: float = 0.05
-    lanes: int = 128
+    lanes: int = 128  # documents trained on side by side
+    score_lanes: int = 384
     range_words: int = 2_000_000
 
 
@@ -360,7 +361,7 @@ def scores(
         symbols = Symbols(vocabulary)
         network = gru.Network(weights, vocabulary.classes, vocabulary.words)
         sequences = _sequences(texts, symbols, vocabulary.end)
-        total = network.score(sequences, s.lanes) / np.log(10)
+        total = network.score(sequences, s.score_lanes) / np.log(10)
         whole = vocabulary.tokens + ADD * (vocabulary.types + 1)
         out: list[list] = [[], [], [], [], []]
         get = known.__getitem__

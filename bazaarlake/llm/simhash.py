@@ -324,7 +324,7 @@ def keep_one(
     their group; a group of NULL ids keeps one row.
     """
     groups = written(near_groups(docs, shingle, radius, id_col, text_col), "groups")
-    key, mark = (free_name(docs.columns, n) for n in ("kept_id", "kept_fp"))
+    key, mark, best = (free_name(docs.columns, n) for n in ("kept_id", "kept_fp", "best_fp"))
     # Of each component, one (id, fingerprint) stays: the smallest.
     winners = written(
         groups.filter(same(F.col("id"), F.col("component")))
