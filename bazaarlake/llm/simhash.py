@@ -346,7 +346,7 @@ def keep_one(
     again = with_fingerprint(kept.join(several, on, "left_semi"), shingle, text_col, mark)
     chosen = again.join(
         winners.select(F.col(key), F.col(mark).alias("n")),
-        on & (F.col(mark) == F.col("n")),
+        on & (F.col(mark) == F.col(best)),
         "left_semi",
     ).dropDuplicates([id_col, mark])
     return kept.join(several, on, "left_anti").unionByName(chosen.select(*docs.columns))
