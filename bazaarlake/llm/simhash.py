@@ -345,7 +345,7 @@ def keep_one(
         return kept
     again = with_fingerprint(kept.join(several, on, "left_semi"), shingle, text_col, mark)
     chosen = again.join(
-        winners.select(F.col(key), F.col(mark).alias("n")),
+        winners.select(key, F.col(mark).alias(best)),
         on & (F.col(mark) == F.col(best)),
         "left_semi",
     ).dropDuplicates([id_col, mark])
