@@ -63,6 +63,11 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _print(report) -> None:
+    """All rows: reports have a row per table or column."""
+    report.show(report.count(), truncate=False)
+
+
 def _catalog(lake: Lake, args) -> None:
     spark, database = lake.spark, args.database
     everything = args.table == "all"
@@ -72,7 +77,7 @@ def _catalog(lake: Lake, args) -> None:
         if args.views:
             create_views(spark, database)
     elif args.action == "list":
-        catalog.list_tables(spark, database).show(1000, truncate=False)
+        _print(catalog.list_tables(spark, database))
     elif everything:
         catalog.drop_database(spark, database)
     else:
@@ -87,11 +92,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.job == "ingest":
             load, pattern = LOADS[args.mode]
             report = load(lake, args.source, file_name=args.file_name or pattern)
-            report.show(100, truncate=False)
+            _print(report)
         elif args.job == "validate":
             expected = {t: int(n) for t, n in (e.split("=") for e in args.expect)}
             report = validate_layer(lake, "bronze", RAW, expected)
-            report.show(100, truncate=False)
+            _print(report)
             return int(not report.filter("status IN ('FAIL', 'MISSING')").isEmpty())
         elif args.job in BUILDS:
             build, _ = BUILDS[args.job]
@@ -101,7 +106,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             _catalog(lake, args)
     except LoadError as failure:
-        failure.report.show(100, truncate=False)
+        _print(failure.report)
         print(failure, file=sys.stderr)
         return 1
     finally:

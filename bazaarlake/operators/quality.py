@@ -89,7 +89,7 @@ def matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 
 def zip_ranges(df: DataFrame, zip_col: str) -> DataFrame:
-    """Row counts by shape of a padded zip: leading zero, odd length, other.
+    """Row counts by shape of a raw zip: leading zero, wrong length, other.
 
     Zips are compared as text, so any prefix that sorts after all digits is
     reported as out of range.

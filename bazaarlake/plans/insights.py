@@ -110,6 +110,7 @@ def delivery_by_month(fulfillment: DataFrame) -> DataFrame:
     by = ["year", "month"]
     sums = (
         _delivered(fulfillment)
+        .drop(*by)  # a stored fact has them as partition columns
         .select("*", *_month_of("purchase_date_key"))
         .groupBy(*by)
         .agg(*_delivery_sums())
@@ -272,7 +273,8 @@ def concentration(places: DataFrame, *by: str) -> DataFrame:
     ranks = value_ranks(
         places, "revenue_cents", descending=True, total="revenue_cents"
     ).select("revenue_cents", "rank_no", "running_total")
-    return places.join(ranks, "revenue_cents").select(
+    # A place without any revenue value has no rank, but it stays.
+    return places.join(ranks, "revenue_cents", "left").select(
         *by,
         "customer_count",
         amount(F.col("revenue_cents")).alias("total_revenue"),

@@ -164,11 +164,12 @@ KPI_SALES_COLUMNS = (
 def with_person(fact_sales: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Sales lines with the person behind the customer id.
 
-    Where every order gets a customer id of its own, only the person shows who
+    Lines whose customer is not in the dimension stay, without a person. Where
+    every order gets a customer id of its own, only the person shows who
     bought again: ``kpi_summary(..., customer_key="customer_unique_id")``.
     """
     people = dim_customers.select("customer_id", "customer_unique_id")
-    return fact_sales.join(people, "customer_id")
+    return fact_sales.join(people, "customer_id", "left")
 
 
 def kpi_summary(

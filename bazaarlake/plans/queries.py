@@ -308,7 +308,11 @@ def matching_cities(s: Sample) -> DataFrame:
 
 @query
 def zip_ranges(s: Sample) -> DataFrame:
-    return quality.zip_ranges(s.clean["customers"], "customer_zip_code_prefix")
+    # Cleaning cuts zips to five digits, so their length shows in the raw numbers
+    # only; what a number has lost are its leading zeros.
+    raw = F.col("customer_zip_code_prefix").cast("string")
+    padded = F.when(F.length(raw) < 5, F.lpad(raw, 5, "0")).otherwise(raw)
+    return quality.zip_ranges(s.raw["customers"].select(padded.alias("zip")), "zip")
 
 
 @query

@@ -24,8 +24,9 @@ def _total(column: str) -> str:
 
 
 def _half_up(num: str, den: str) -> str:
-    """``round(num / den)`` of two integer aggregates, num >= 0, in SQL."""
-    return f"(2 * {num} + {den}) DIV NULLIF(2 * {den}, 0)"
+    """``round(num / den)`` of two integer aggregates, away from zero, in SQL."""
+    whole = f"((2 * ABS({num}) + {den}) DIV NULLIF(2 * {den}, 0))"
+    return f"CAST(SIGN({num}) AS BIGINT) * {whole}"
 
 
 def _mean_money(column: str) -> str:

@@ -31,12 +31,18 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Only a session that names none (a local test) gets a private folder.
+    Only a local session that names none (a test) gets a private folder. On a
+    cluster a folder of the driver's machine would lose data without a word.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            master = getattr(context, "master", "local")
+            if not master.startswith("local") or "cluster" in master:
+                raise RuntimeError(
+                    "set spark.checkpoint.dir to a folder that all executors share"
+                )
             context.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlake-"))
         named = context.getCheckpointDir()
     return named.rstrip("/")

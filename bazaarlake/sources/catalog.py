@@ -25,13 +25,29 @@ def register(lake: Lake, database: str, names: Sequence[str] = tuple(PLATINUM))
     for name in names:
         columns = PLATINUM[name].ddl
         location = lake.path("platinum", name)
-        lake.spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        table = f"{database}.{name}"
+        if lake.spark.catalog.tableExists(table):
+            if _matches(lake.spark, table, PLATINUM[name].schema, location):
+                continue  # readers and views see no gap
+            lake.spark.sql(f"DROP TABLE {table}")
         lake.spark.sql(
-            f"CREATE TABLE {database}.{name} ({columns}) "
-            f"USING parquet LOCATION '{location}'"
+            f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{location}'"
         )
 
 
+def _matches(spark: SparkSession, table: str, schema, location: str) -> bool:
+    """Whether the table has these columns at this place."""
+    found = [(f.name, f.dataType) for f in spark.table(table).schema]
+    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    place = facts.first()
+    if place is None or found != [(f.name, f.dataType) for f in schema]:
+        return False
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    full = lambda p: path(p).getFileSystem(conf).makeQualified(path(p)).toString()
+    return full(place["data_type"]) == full(location)
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """One row per column of every table in the database."""
     rows = [

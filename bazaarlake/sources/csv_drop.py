@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Collection, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bazaarlake.contracts import RAW, Contract
 from bazaarlake.operators.quality import row_counts, validate_counts
@@ -26,16 +29,62 @@ STATUS_DDL = """table_name string, status string, new_rows bigint,
                 total_rows bigint, error string"""
 
 
+# Holds the raw line of a row that does not fit the contract.
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt(contract: Contract) -> StructType:
+    return StructType([*contract.schema.fields, StructField(CORRUPT, StringType())])
+
+
+def set_apart(
+    rows: DataFrame, contract: Contract, *, keyed: bool
+) -> tuple[DataFrame, DataFrame]:
+    """(rows to load, rejects) of rows read with their corrupt lines.
+
+    A row with a value that does not fit its type, or with too few or too many
+    fields, is loaded with NULL there, and its raw line is kept as a reject. Where
+    rows are merged by key (``keyed``: increments and the stream) a key with a NULL
+    part is not loaded: it matches nothing, so that loading it again would add it
+    twice. A reject has what was read, the raw line and a reason.
+    """
+    unreadable = F.col(CORRUPT).isNotNull()
+    keys = contract.keys if keyed else ()
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.lit(False))
+    reason = F.when(unreadable, "unreadable").otherwise("no key")
+    bad = rows.filter(unreadable | no_key).withColumn("reason", reason)
+    return rows.filter(~no_key).drop(CORRUPT), bad
+
+
+def _rejects_of(contract: Contract, path: str) -> str:
+    """A folder for the file's rejects: loading it again replaces them."""
+    name = hashlib.sha256(path.encode()).hexdigest()[:16]
+    return f"{contract.name}_rejects/file={name}"
+
+
+def _note(rejected: int, strict: bool) -> str | None:
+    if rejected and strict:
+        raise ValueError(f"{rejected} rows do not fit the contract")
+    return f"{rejected} raw rows kept as rejects" if rejected else None
+
+
 def read_csv(
-    spark: SparkSession, path: str, contract: Contract, *, single_line: bool = False
+    spark: SparkSession,
+    path: str,
+    contract: Contract,
+    *,
+    single_line: bool = False,
+    corrupt: bool = False,
 ) -> DataFrame:
     """CSV under the contract's schema: no inference pass over the data.
 
     A file whose fields may span lines is one task. ``single_line`` promises
-    that none does; Spark then splits large files.
+    that none does; Spark then splits large files. ``corrupt`` adds the raw line
+    of rows that do not fit; without it, what cannot be read is NULL.
     """
     options = {**CSV_OPTIONS, "multiLine": str(not single_line).lower()}
-    return spark.read.schema(contract.schema).options(**options).csv(path)
+    schema = with_corrupt(contract) if corrupt else contract.schema
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 class LoadError(RuntimeError):
@@ -49,14 +98,13 @@ class LoadError(RuntimeError):
 def _run(
     spark: SparkSession,
     tables: Mapping[str, Contract],
-    load_one: Callable[[Contract], tuple[str, int | None, int | None]],
+    load_one: Callable[[Contract], tuple[str, int | None, int | None, str | None]],
 ) -> DataFrame:
     """Load every table, then fail if any failed, with all outcomes reported."""
     outcomes, failed = [], []
     for contract in tables.values():
         try:
-            status, new_rows, total_rows = load_one(contract)
-            outcomes.append((contract.name, status, new_rows, total_rows, None))
+            outcomes.append((contract.name, *load_one(contract)))
         except Exception as problem:  # noqa: BLE001 - reported, then raised
             failed.append(contract.name)
             outcomes.append((contract.name, "FAILED", None, None, str(problem)))
@@ -73,19 +121,36 @@ def full_load(
     file_name: str = "{table}.csv",
     tables: Mapping[str, Contract] = RAW,
     single_line: Collection[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """Replace each bronze table by its CSV. One row per table: name, rows.
 
-    Tables named in ``single_line`` have no line breaks inside fields.
+    Tables named in ``single_line`` have no line breaks inside fields. The raw
+    lines of rows that do not fit the contract go to ``<table>_rejects`` and are
+    counted in ``error``;
+    ``strict`` fails the table instead.
     """
 
     def load_one(contract: Contract):
         path = f"{folder}/{file_name.format(table=contract.name)}"
         source = read_csv(
-            lake.spark, path, contract, single_line=contract.name in single_line
+            lake.spark,
+            path,
+            contract,
+            single_line=contract.name in single_line,
+            corrupt=True,
         )
-        rows = lake.write(source, "bronze", contract.name)
-        return "LOADED", rows, rows
+        if strict:
+            _note(set_apart(source, contract, keyed=False)[1].count(), strict)
+        seen = Observation()
+        counted = source.observe(seen, F.count(CORRUPT).alias("rejects"))
+        good, _ = set_apart(counted, contract, keyed=False)
+        rows = lake.write(good, "bronze", contract.name)
+        rejected = seen.get["rejects"]
+        if rejected:  # read again only then
+            _, bad = set_apart(source, contract, keyed=False)
+            lake.write(bad, "bronze", _rejects_of(contract, path))
+        return "LOADED", rows, rows, _note(rejected, False)
 
     return _run(lake.spark, tables, load_one)
 
@@ -96,20 +161,38 @@ def incremental_load(
     *,
     file_name: str = "{table}_new.csv",
     tables: Mapping[str, Contract] = RAW,
+    single_line: Collection[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
-    """Upsert each table's new rows; tables without new rows are skipped."""
+    """Upsert each table's new rows; tables without new rows are skipped.
+
+    Rejects are kept as in ``full_load``, rows without a complete key among them;
+    loading a file again replaces its rejects.
+    """
 
     def load_one(contract: Contract):
         path = f"{folder}/{file_name.format(table=contract.name)}"
         if not path_exists(lake.spark, path):
-            return "NO FILE", 0, None
+            return "NO FILE", 0, None, None
         # Written once: the upsert reads it more than once, and its measured
         # size lets Spark decide whether to broadcast it.
-        with passing(read_csv(lake.spark, path, contract), "increment") as fresh:
+        source = read_csv(
+            lake.spark,
+            path,
+            contract,
+            single_line=contract.name in single_line,
+            corrupt=True,
+        )
+        with passing(source, "increment") as read:
+            fresh, bad = set_apart(read, contract, keyed=True)
+            rejected = bad.count()
+            note = _note(rejected, strict)
+            if rejected:
+                lake.write(bad, "bronze", _rejects_of(contract, path))
             new_rows = fresh.count()
             if not new_rows:
-                return "NO ROWS", 0, None
-            return "MERGED", new_rows, merge(lake, contract, fresh)
+                return "NO ROWS", 0, None, note
+            return "MERGED", new_rows, merge(lake, contract, fresh), note
 
     return _run(lake.spark, tables, load_one)
 

@@ -40,11 +40,10 @@ class Lake:
         return self.spark.read.format(self.table_format(layer)).load(path)
 
     def exists(self, layer: str, table: str) -> bool:
-        """Whether the table was ever written; reads no data."""
-        path = self.path(layer, table)
-        if self.table_format(layer) == "delta":
-            path = f"{path}/_delta_log"
-        return path_exists(self.spark, path)
+        """Whether a write of the table ever succeeded; reads no data."""
+        delta = self.table_format(layer) == "delta"
+        mark = "_delta_log" if delta else "_SUCCESS"
+        return path_exists(self.spark, f"{self.path(layer, table)}/{mark}")
 
     def write(
         self,

@@ -8,7 +8,7 @@ folder named after the batch.
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bazaarlake.contracts import Contract
 from bazaarlake.operators.upsert import refuse
 from bazaarlake.session import passing
-from bazaarlake.sources.csv_drop import CSV_OPTIONS
+from bazaarlake.sources.csv_drop import CSV_OPTIONS, set_apart, with_corrupt
 from bazaarlake.sources.layers import Lake
 from bazaarlake.sources.merge import merge
 
@@ -29,7 +29,7 @@ def read_drops(
     lake: Lake, folder: str, contract: Contract, max_files: int | None = None
 ) -> DataFrame:
     """Stream of the CSV rows in ``folder``, each with the file it came from."""
-    reader = lake.spark.readStream.schema(contract.schema).options(**CSV_OPTIONS)
+    reader = lake.spark.readStream.schema(with_corrupt(contract)).options(**CSV_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     origin = F.struct("_metadata.file_modification_time", "_metadata.file_path")
@@ -68,21 +68,22 @@ def start_upserts(
     """Upsert all files not seen before into the bronze table, then stop.
 
     ``max_files`` bounds the files of one batch. Rows without a complete key
-    match nothing, so repeating a batch would add them twice; they go to
-    ``<table>_rejects`` instead.
+    match nothing, so repeating a batch would add them twice; they and rows that
+    do not fit the contract go to
+    ``<table>_rejects`` instead, in a folder of this stream's own.
     """
-    has_key = reduce(
-        lambda a, b: a & b, [F.col(k).isNotNull() for k in contract.keys]
-    )
+    # Batch numbers begin again with every checkpoint, so they need its name.
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         with passing(batch, f"batch-{batch_id}") as rows:
+            good, bad = set_apart(rows, contract, keyed=True)
             lake.write(
-                rows.filter(~has_key).drop(FILE),
+                bad.withColumn("file", F.col(f"{FILE}.file_path")).drop(FILE),
                 "bronze",
-                f"{contract.name}_rejects/batch_id={batch_id}",
+                f"{contract.name}_rejects/stream={stream}/batch_id={batch_id}",
             )
-            merge(lake, contract, latest_file_rows(rows.filter(has_key), contract))
+            merge(lake, contract, latest_file_rows(good, contract))
 
     return (
         read_drops(lake, folder, contract, max_files)

@@ -608,6 +608,12 @@ def _quintile(value: str) -> str:
     )
 
 
+# Orders whose approval time is no time: loaded, with their raw lines kept.
+_REJECTED = {
+    "orders": """count_if(order_approved_at = 'not recorded')
+                 || ' raw rows kept as rejects'"""
+}
+
 _RFM = f"""
     select customer_unique_id, recency_days, frequency, monetary,
            r_score, f_score, m_score,
@@ -658,7 +664,7 @@ BODIES: dict[str, str] = {
                end as revenue_day_growth_pct)
         from sales_mart m left join sales_mart y on y.full_date + 1 = m.full_date""",
     "kpi_summary_by_person": _kpi(
-        "customer_unique_id", "fact_sales join dim_customers using (customer_id)"
+        "customer_unique_id", "fact_sales left join dim_customers using (customer_id)"
     ),
     "period_growth": f"""
         select order_status, period, {_money("cents")} as revenue,
@@ -831,10 +837,12 @@ BODIES: dict[str, str] = {
     "matching_cities": """
         select * from customers_c where customer_city like 'city 1%'""",
     "zip_ranges": """
-        select case when customer_zip_code_prefix < '10000' then 'leading zero'
+        select case when customer_zip_code_prefix is null then 'missing'
+                    when customer_zip_code_prefix > 99999 then 'wrong length'
+                    when customer_zip_code_prefix < 10000 then 'leading zero'
                     else 'plain' end as zip_shape,
                count(*) as row_count
-        from customers_c group by 1""",
+        from raw_customers group by 1""",
     "reconcile_payments": """
         select * from fact_sales where total_item_value <> total_payment_value""",
     "row_count_report": _counts(**_CLEAN, **_STAR),
@@ -862,7 +870,8 @@ BODIES: dict[str, str] = {
                           and cast(order_id as bigint) % 2 = 0)""",
     "csv_full_load": " union all ".join(
         f"""select '{t}' as table_name, 'LOADED' as status, count(*) as new_rows,
-                   count(*) as total_rows, cast(null as varchar) as error
+                   count(*) as total_rows, {_REJECTED.get(t, "cast(null as varchar)")}
+                     as error
             from raw_{t}"""
         for t in _CLEAN
     ),
