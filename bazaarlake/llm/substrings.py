@@ -213,7 +213,7 @@ def _candidates(roller, tokens, block, window, hits, ranges):
     return starts, roller.runs(words, window)[starts], roller.runs(words, window, 1)[starts]
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _pairs(a, b) -> np.ndarray:
     out = np.empty(len(a), dtype=[("a", "<u8"), ("b", "<u8")])
     out["a"], out["b"] = a, b
     return out
@@ -254,7 +254,7 @@ def repeats(
                 found.append(_pairs(a, b))
         if not found:
             return pa.Table.from_batches([_packed([])])
-        values, n = np.unique(np.concatenate(found), return_counts=True)
+        values, _, n = _grouped(np.concatenate(found))
         part = _range_of(values["a"], ranges)
         cuts = np.searchsorted(part, np.arange(ranges + 1))
         rows = []
@@ -272,12 +272,13 @@ def repeats(
 
     def cut(mine: pa.Table, hits_: pa.Table) -> pa.Table:
         lists = [np.frombuffer(d, _pairs([], []).dtype) for d in hits_.column("data").to_pylist()]
-        hits = np.sort(np.concatenate(lists)) if lists else _pairs(np.empty(0), np.empty(0))
+        hits = _grouped(np.concatenate(lists))[0] if lists else _pairs([], [])
+        firsts, seconds = np.ascontiguousarray(hits["a"]), np.ascontiguousarray(hits["b"])
         roller = Roller()
         out: list[list] = [[], [], [], [], []]
         for text in next(texts_of(mine))[1]:
             tokens = text.split()
-            spans = _spans(roller, tokens, window, hits)
+            spans = _spans(roller, tokens, window, firsts, seconds)
             kept, at = [], 0
             for first, end in spans:
                 kept += tokens[at:first]
@@ -313,6 +314,18 @@ def repeats(
     )
 
 
+def _grouped(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, for each pair the number of its like, and their counts."""
+    order = np.lexsort((pairs["b"], pairs["a"]))
+    a, b = pairs["a"][order], pairs["b"][order]
+    first = np.ones(len(pairs), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.empty(len(pairs), np.int64)
+    at[order] = np.cumsum(first) - 1
+    starts = np.flatnonzero(first)
+    return pairs[order[starts]], at, np.diff(np.append(starts, len(pairs)))
+
+
 def _meet_windows(group: pa.Table) -> pa.Table:
     """Per chunk its windows that occur twice anywhere."""
     kind = _pairs([], []).dtype
@@ -324,7 +337,7 @@ def _meet_windows(group: pa.Table) -> pa.Table:
         flags.append(
             np.unpackbits(np.frombuffer(data, np.uint8, offset=16 * n), count=n).astype(bool)
         )
-    values, at, n = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    _, at, n = _grouped(np.concatenate(lists))
     twice = n > 1
     np.logical_or.at(twice, at[np.concatenate(flags)], True)
     rows, start = [], 0
@@ -337,17 +350,25 @@ def _meet_windows(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_packed(rows)])
 
 
-def _spans(roller, tokens, window, hits) -> list[tuple[int, int]]:
-    """Maximal runs of words covered by confirmed windows."""
-    if len(tokens) < window or not len(hits):
+def _spans(roller, tokens, window, firsts, seconds) -> list[tuple[int, int]]:
+    """Maximal runs of words covered by confirmed windows; those sorted by both hashes."""
+    if len(tokens) < window or not len(firsts):
         return []
     words = roller.words(tokens)
-    mine = _pairs(roller.runs(words, window), roller.runs(words, window, 1))
-    at = np.minimum(np.searchsorted(hits["a"], mine["a"]), len(hits) - 1)
-    likely = np.flatnonzero(hits["a"][at] == mine["a"])
-    if not len(likely):
+    a, b = roller.runs(words, window), roller.runs(words, window, 1)
+    at = np.searchsorted(firsts, a)
+    starts = np.flatnonzero(firsts[np.minimum(at, len(firsts) - 1)] == a)
+    if not len(starts):
         return []
-    starts = likely[np.isin(mine[likely], hits)]
+    a, b, at = a[starts], b[starts], at[starts]
+    found = seconds[at] == b
+    while True:  # the rare windows that share their first hash only
+        at = np.minimum(at + 1, len(firsts) - 1)
+        more = (firsts[at] == a) & (seconds[at] == b) & ~found
+        found |= more
+        if not ((firsts[at] == a) & ~found & (at < len(firsts) - 1)).any():
+            break
+    starts = starts[found]
     spans: list[tuple[int, int]] = []
     for s in starts.tolist():
         if spans and s <= spans[-1][1]:
