@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import session_for
-from bazaarlake.llm.tokens import Encoder
+from bazaarlake.llm.tokens import Encoder, encoder_for
 
 RULES = ("majority", "start", "split")
 Spans = tuple[np.ndarray, np.ndarray]
@@ -93,7 +93,7 @@ def count(
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    session_for(docs)
+    session_for(docs, 1000)
     id_type = docs.schema[id_col].dataType.simpleString()
     picked = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")]
     if sections:
@@ -101,7 +101,7 @@ def count(
 
     def spans_of(encoder: Encoder) -> Callable[[list[str]], Iterator[Spans]]:
         if encoder.by_unit:
-            lengths = encoder.byte_lengths()
+            lengths = encoder.lengths
 
             def spans(texts):
                 for codes in encoder.encode(texts):
@@ -119,7 +119,7 @@ def count(
         return spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans = spans_of(Encoder(tokenizer))
+        spans = spans_of(encoder_for(tokenizer))
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             given = batch.column("sections").to_pylist() if sections else [None] * len(texts)

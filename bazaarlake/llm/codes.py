@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import session_for, written
 from bazaarlake.llm.files import new_file, open_file, shared_folder, write_file
-from bazaarlake.llm.tokens import Encoder
+from bazaarlake.llm.tokens import encoder_for
 
 MAGIC = b"DACIDS01"
 BLOCK = 512  # bits of a bitmap that share a rank
@@ -165,7 +165,7 @@ def write(
     Ranges of ids make the tasks. A task that is repeated writes files of new
     names, and only those of the attempt that counts are in the manifest.
     """
-    spark = session_for(docs)
+    spark = session_for(docs, 1000)
     folder = folder or shared_folder(spark, "ids")
     widths = tuple(widths)
     if sum(widths) != 32 or any(w not in _TYPES for w in widths):
@@ -174,7 +174,7 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        encoder = Encoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         names, sizes, parts, held = [], [], [], 0
         made = []
 

@@ -1,10 +1,12 @@
-"""Token ids by the tokenizers library, each distinct word encoded once per task.
+"""Token ids by the tokenizers library, each distinct word encoded once per worker.
 
 A byte-level BPE never merges across the pieces its pattern cuts a text into, and
 a single space before a non-space always starts a piece. So the ids of a text are
-those of its space-separated units, and units repeat. Texts where that rule does
-not hold (runs of white space, special tokens) are encoded whole, and so are all
-texts for a tokenizer of another kind.
+those of its space-separated units, and units repeat. Arrow cuts a batch into its
+distinct units, the library encodes those not met before, and the ids of all texts
+are gathered from them. Texts where that rule does not hold (runs of white space,
+special tokens) are encoded whole, and so are all texts for a tokenizer of another
+kind.
 """
 
 from __future__ import annotations
@@ -12,14 +14,12 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Fixed value: how byte-level BPE vocabularies of this kind cut a text into pieces.
-PIECES = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -29,10 +29,16 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=1)
+def encoder_for(path: str) -> Encoder:
+    """The Python worker's encoder: tasks that share a worker share its units."""
+    return Encoder(path)
+
+
 class Encoder:
-    """Encodes whole texts; keeps about twice ``keep`` units in memory."""
+    """Encodes whole texts; remembers at most about twice ``keep`` units."""
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -49,103 +55,81 @@ class Encoder:
         )
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.keep = keep
-        self.units: dict[str, bytes | None] = {}
-        self.cores: dict[str, bytes] = {"": b""}
-        self.old_units: dict[str, bytes | None] = {}
-        self.old_cores: dict[str, bytes] = {}
-        self.lengths: np.ndarray | None = None
+        self.units: dict[str, bytes] = {}
+        self.old_units: dict[str, bytes] = {}
+        self.lengths = self.byte_lengths() if self.by_unit else None
 
     def whole(self, text: str) -> bytes:
         ids = self.lib.encode(text, add_special_tokens=False).ids
         return np.array(ids, np.uint32).tobytes()
 
     def _learn(self, new: list[str]) -> None:
-        """Units follow a space. None marks one that needs its surroundings."""
-        units, cores = self.units, self.cores
-        if len(units) + len(new) > self.keep:  # what is used again moves over from the old ones
-            self.old_units, self.units = units, {}
-            units = self.units
-        if len(cores) > self.keep:
-            self.old_cores, self.cores = cores, {"": b""}
-            cores = self.cores
-        parts, missing = {}, set()
+        """Units follow a space. One without ids needs its surroundings."""
+        if len(self.units) + len(new) > self.keep:  # what is used again moves over
+            self.old_units, self.units = self.units, {}
+        units, old, missing = self.units, self.old_units, []
         for unit in new:
-            if unit in self.old_units:
-                units[unit] = self.old_units[unit]
-                continue
-            if not unit or unit[0].isspace() or unit[-1].isspace():
-                units[unit] = None
-                continue
-            core = unit.rstrip(".,;:!?")
-            if core.isalpha():
-                pieces = (" " + core, unit[len(core) :])
-            elif unit.isascii() or max(unit) < "\u0250":
-                # Latin letters: every release of Unicode cuts these alike.
-                pieces = PIECES.findall(" " + unit)
+            if unit in old:
+                units[unit] = old[unit]
+            elif not unit or unit[0].isspace() or unit[-1].isspace():
+                units[unit] = b""
+            elif any(s in unit for s in self.special):
+                units[unit] = b""
             else:
-                pieces = (" " + unit,)
-            parts[unit] = pieces
-            for piece in pieces:
-                if piece not in cores:
-                    if piece in self.old_cores:
-                        cores[piece] = self.old_cores[piece]
-                    else:
-                        missing.add(piece)
-        cores.update(self._pieces(list(missing)))
-        for unit, pieces in parts.items():
-            units[unit] = b"".join([cores[p] for p in pieces])
-
-    def _pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each piece with its ids. Pieces after a space are encoded in a row, which
-        costs the library far less, and cut apart by the bytes of their tokens."""
-        spaced = [p for p in pieces if p[0] == " " and p != " "]
-        other = [p for p in pieces if p[0] != " " or p == " "]
-        if self.lengths is None:
-            self.lengths = self.byte_lengths()
-        for at in range(0, len(spaced), 2000):
-            some = spaced[at : at + 2000]
-            if any(s in p for p in some for s in self.special):
-                other += some
-                continue
-            got = self.lib.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
-            ids = np.array(got.ids, np.uint32)
-            token_ends = np.cumsum(self.lengths[ids])
-            piece_ends = np.cumsum([len(p.encode()) for p in some])
-            cuts = np.searchsorted(token_ends, piece_ends)
-            if not np.array_equal(token_ends[np.minimum(cuts, len(ids) - 1)], piece_ends):
-                other += some
-                continue
-            data, begin = ids.tobytes(), 0
-            for piece, cut in zip(some, cuts.tolist()):
-                yield piece, data[begin : 4 * cut + 4]
-                begin = 4 * cut + 4
-        for piece in other:
-            ids = self.lib.encode(piece, add_special_tokens=False).ids
-            yield piece, np.array(ids, np.uint32).tobytes()
+                missing.append(unit)
+        for at in range(0, len(missing), 2000):
+            units.update(self._in_a_row(missing[at : at + 2000]))
+
+    def _in_a_row(self, some: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each unit with its ids. Units are encoded in a row, which costs the library
+        far less, and cut apart by the bytes of their tokens."""
+        row = " " + " ".join(some)
+        got = self.lib.encode_batch_fast([row], add_special_tokens=False)[0]
+        ids = np.array(got.ids, np.uint32)
+        token_ends = np.cumsum(self.lengths[ids])
+        unit_ends = np.cumsum(pc.binary_length(pa.array(some)).to_numpy() + 1)
+        cuts = np.searchsorted(token_ends, unit_ends)
+        if not np.array_equal(token_ends[np.minimum(cuts, len(ids) - 1)], unit_ends):
+            return ((unit, self.whole(" " + unit)) for unit in some)
+        data, ends = ids.tobytes(), (4 * cuts + 4).tolist()
+        return ((u, data[a:b]) for u, a, b in zip(some, [0, *ends], ends))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if not texts:
+            return []
         if not self.by_unit:
             got = self.lib.encode_batch(texts, add_special_tokens=False)
             return [np.array(g.ids, np.uint32).tobytes() for g in got]
-        split = [t.split(" ") for t in texts]
-        known = self.units
-        new = {u for parts in split for u in parts[1:] if u not in known}
-        if len(known) + len(new) > self.keep:  # then all units of these texts count as new
-            new = {u for parts in split for u in parts[1:]}
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        begins = lists.offsets.to_numpy()[:-1].astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        units = [*map(self.units.get, distinct)]
+        new = [u for u, known in zip(distinct, units) if known is None]
         if new:
-            self._learn(list(new))
-        units = self.units
-        out = []
-        for text, (first, *rest) in zip(texts, split, strict=True):
-            codes = None
-            if not (first[-1:].isspace() or any(s in text for s in self.special)):
-                try:
-                    codes = self.whole(first) + b"".join([units[u] for u in rest])
-                except TypeError:  # a None among them
-                    codes = None
-            out.append(self.whole(text) if codes is None else codes)
-        return out
+            if len(self.units) + len(new) > self.keep:  # then all units of these texts are new
+                new = distinct
+            self._learn(new)
+            units = [*map(self.units.get, distinct)]
+        # The first unit of a text follows no space: it has codes of its own.
+        firsts = [distinct[i] for i in at[begins].tolist()]
+        got = self.lib.encode_batch_fast(firsts, add_special_tokens=False)
+        codes = [*units, *(np.array(g.ids, np.uint32).tobytes() for g in got)]
+        at[begins] = len(units) + np.arange(len(texts))
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        loose = np.append(sizes[: len(units)] == 0, [f[-1:].isspace() for f in firsts])
+        alone = np.logical_or.reduceat(loose[at], begins).tolist()
+        flat = np.frombuffer(b"".join(codes), np.uint32)
+        size = sizes[at]
+        ends = np.cumsum(size)
+        source = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size)
+        data = flat[source + np.arange(len(source))].tobytes()
+        bounds = [*(4 * (ends - size)[begins]).tolist(), len(data)]
+        return [
+            self.whole(text) if odd or any(s in text for s in self.special) else data[a:b]
+            for text, odd, a, b in zip(texts, alone, bounds, bounds[1:])
+        ]
 
     def byte_lengths(self) -> np.ndarray:
         """UTF-8 bytes of each id's token, for byte-level vocabularies."""
