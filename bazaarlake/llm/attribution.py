@@ -93,7 +93,7 @@ def count(
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    session_for(docs, 1000)
+    session_for(docs, 4096)
     id_type = docs.schema[id_col].dataType.simpleString()
     picked = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")]
     if sections:

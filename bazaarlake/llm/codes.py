@@ -165,7 +165,7 @@ def write(
     Ranges of ids make the tasks. A task that is repeated writes files of new
     names, and only those of the attempt that counts are in the manifest.
     """
-    spark = session_for(docs, 1000)
+    spark = session_for(docs, 4096)
     folder = folder or shared_folder(spark, "ids")
     widths = tuple(widths)
     if sum(widths) != 32 or any(w not in _TYPES for w in widths):

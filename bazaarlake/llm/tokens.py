@@ -38,7 +38,7 @@ def encoder_for(path: str) -> Encoder:
 class Encoder:
     """Encodes whole texts; remembers at most about twice ``keep`` units."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
