@@ -43,6 +43,9 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--mode", choices=list(LOADS), required=True)
     ingest.add_argument("--source", required=True, help="folder of CSV files")
     ingest.add_argument("--file-name", help="pattern with {table}")
+    ingest.add_argument(
+        "--multi-line", nargs="*", default=[], metavar="TABLE", help="fields may span lines"
+    )
 
     validate = jobs.add_parser("validate", help="row counts of bronze")
     validate.add_argument(
@@ -91,7 +94,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         if args.job == "ingest":
             load, pattern = LOADS[args.mode]
-            report = load(lake, args.source, file_name=args.file_name or pattern)
+            report = load(
+                lake,
+                args.source,
+                file_name=args.file_name or pattern,
+                multi_line=args.multi_line,
+            )
             _print(report)
         elif args.job == "validate":
             expected = {t: int(n) for t, n in (e.split("=") for e in args.expect)}

@@ -17,11 +17,15 @@ LAYERS = ("bronze", "silver", "gold", "platinum")
 
 @dataclass(frozen=True)
 class Contract:
-    """Name, column types and key columns of one table."""
+    """Name, column types and key columns of one table.
+
+    ``multi_line``: text fields of its CSV form may hold line breaks.
+    """
 
     name: str
     ddl: str
     keys: tuple[str, ...] = ()
+    multi_line: bool = False
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -74,6 +78,7 @@ RAW = _index(
            review_creation_date timestamp_ntz,
            review_answer_timestamp timestamp_ntz""",
         ("review_id",),
+        multi_line=True,
     ),
     Contract(
         "products",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.contracts import GOLD
@@ -28,6 +28,16 @@ def _mean_coordinate(column: str):
     return (F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))).alias(column)
 
 
+def _key_apart(column: str) -> Column:
+    """A key column as an expression of its own.
+
+    AQE splits a hot key only where both sides of a join come straight from a
+    shuffle. A side that was aggregated on the key would be joined without one;
+    with this key it is shuffled again, by then at one row per key.
+    """
+    return F.concat(F.col(column), F.lit(""))
+
+
 def geo_centroid(points: DataFrame) -> DataFrame:
     """Mean latitude and longitude per zip."""
     return points.groupBy("geolocation_zip_code_prefix").agg(
@@ -36,9 +46,12 @@ def geo_centroid(points: DataFrame) -> DataFrame:
 
 
 def _located(people: DataFrame, points: DataFrame, role: str) -> DataFrame:
-    """``people`` with the centroid of their zip, NULL where unknown."""
+    """``people`` with the centroid of their zip, NULL where unknown.
+
+    A zip with a large share of the people is split by AQE.
+    """
     where = geo_centroid(points).select(
-        F.col("geolocation_zip_code_prefix").alias(f"{role}_zip_code_prefix"),
+        _key_apart("geolocation_zip_code_prefix").alias(f"{role}_zip_code_prefix"),
         F.col("geolocation_lat").alias(f"{role}_lat"),
         F.col("geolocation_lng").alias(f"{role}_lng"),
     )
@@ -98,19 +111,18 @@ def order_payment_totals(payments: DataFrame) -> DataFrame:
 def fact_sales(items: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per order line.
 
-    Three inputs meet on ``order_id`` in one stage: each is shuffled once. The
-    lines are always the left side, so an order with a large share of them is
-    split by AQE in both joins.
+    Orders and payment totals meet first, at one row per order. The lines are
+    shuffled once and join that row; AQE splits an order with a large share of them.
     """
-    head = orders.select(
-        "order_id",
+    totals = order_payment_totals(payments)
+    head = orders.join(totals, "order_id", "left").select(
+        _key_apart("order_id").alias("order_id"),
         "customer_id",
         "order_status",
         date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key"),
+        "total_payment_value",
     )
-    lines = items.join(head, "order_id").join(
-        order_payment_totals(payments), "order_id", "left"
-    )
+    lines = items.join(head, "order_id")
     price, freight = F.col("price"), F.col("freight_value")
     return lines.select(
         "order_id",

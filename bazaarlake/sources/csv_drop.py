@@ -16,11 +16,10 @@ from bazaarlake.session import passing, path_exists
 from bazaarlake.sources.layers import Lake
 from bazaarlake.sources.merge import merge
 
-# Header row, quoted fields may span lines, a doubled quote is a quote. Columns
-# are read by position; a header that differs from the contract is an error.
+# Header row, a doubled quote is a quote. Columns are read by position; a header
+# that differs from the contract is an error.
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "escape": '"',
     "enforceSchema": "false",
 }
@@ -33,6 +32,12 @@ STATUS_DDL = """table_name string, status string, new_rows bigint,
 CORRUPT = "_corrupt_record"
 
 
+def csv_options(contract: Contract, multi_line: bool | None = None) -> dict[str, str]:
+    """Options for the contract's files; fields span lines only where it says so."""
+    spans = contract.multi_line if multi_line is None else multi_line
+    return {**CSV_OPTIONS, "multiLine": str(spans).lower()}
+
+
 def with_corrupt(contract: Contract) -> StructType:
     return StructType([*contract.schema.fields, StructField(CORRUPT, StringType())])
 
@@ -73,16 +78,16 @@ def read_csv(
     path: str,
     contract: Contract,
     *,
-    single_line: bool = False,
+    multi_line: bool | None = None,
     corrupt: bool = False,
 ) -> DataFrame:
     """CSV under the contract's schema: no inference pass over the data.
 
-    A file whose fields may span lines is one task. ``single_line`` promises
-    that none does; Spark then splits large files. ``corrupt`` adds the raw line
+    Spark splits large files, unless the contract (or ``multi_line``) says that
+    fields may span lines: such a file is one task. ``corrupt`` adds the raw line
     of rows that do not fit; without it, what cannot be read is NULL.
     """
-    options = {**CSV_OPTIONS, "multiLine": str(not single_line).lower()}
+    options = csv_options(contract, multi_line)
     schema = with_corrupt(contract) if corrupt else contract.schema
     return spark.read.schema(schema).options(**options).csv(path)
 
@@ -120,15 +125,15 @@ def full_load(
     *,
     file_name: str = "{table}.csv",
     tables: Mapping[str, Contract] = RAW,
-    single_line: Collection[str] = (),
+    multi_line: Collection[str] = (),
     strict: bool = False,
 ) -> DataFrame:
     """Replace each bronze table by its CSV. One row per table: name, rows.
 
-    Tables named in ``single_line`` have no line breaks inside fields. The raw
-    lines of rows that do not fit the contract go to ``<table>_rejects`` and are
-    counted in ``error``;
-    ``strict`` fails the table instead.
+    Tables named in ``multi_line``, besides those whose contract says so, may have
+    line breaks inside fields. The raw lines of rows that do not fit the contract
+    go to ``<table>_rejects`` and are counted in ``error``; ``strict`` fails the
+    table instead.
     """
 
     def load_one(contract: Contract):
@@ -137,7 +142,7 @@ def full_load(
             lake.spark,
             path,
             contract,
-            single_line=contract.name in single_line,
+            multi_line=contract.multi_line or contract.name in multi_line,
             corrupt=True,
         )
         if strict:
@@ -161,7 +166,7 @@ def incremental_load(
     *,
     file_name: str = "{table}_new.csv",
     tables: Mapping[str, Contract] = RAW,
-    single_line: Collection[str] = (),
+    multi_line: Collection[str] = (),
     strict: bool = False,
 ) -> DataFrame:
     """Upsert each table's new rows; tables without new rows are skipped.
@@ -180,7 +185,7 @@ def incremental_load(
             lake.spark,
             path,
             contract,
-            single_line=contract.name in single_line,
+            multi_line=contract.multi_line or contract.name in multi_line,
             corrupt=True,
         )
         with passing(source, "increment") as read:

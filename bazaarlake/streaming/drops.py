@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bazaarlake.contracts import Contract
 from bazaarlake.operators.upsert import refuse
 from bazaarlake.session import passing
-from bazaarlake.sources.csv_drop import CSV_OPTIONS, set_apart, with_corrupt
+from bazaarlake.sources.csv_drop import csv_options, set_apart, with_corrupt
 from bazaarlake.sources.layers import Lake
 from bazaarlake.sources.merge import merge
 
@@ -29,7 +29,7 @@ def read_drops(
     lake: Lake, folder: str, contract: Contract, max_files: int | None = None
 ) -> DataFrame:
     """Stream of the CSV rows in ``folder``, each with the file it came from."""
-    reader = lake.spark.readStream.schema(with_corrupt(contract)).options(**CSV_OPTIONS)
+    reader = lake.spark.readStream.schema(with_corrupt(contract)).options(**csv_options(contract))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     origin = F.struct("_metadata.file_modification_time", "_metadata.file_path")

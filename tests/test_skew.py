@@ -59,7 +59,9 @@ def test_fact_sales_splits_a_hot_order(spark, small_partitions):
     payments = _orders(spark).select("order_id", F.lit(2.0).alias("payment_value"))
     fact = gold.fact_sales(items, _orders(spark), payments)
     plan = _final_plan(fact)
+    # The one join that the lines take part in is split.
     assert plan.count("skew=true") >= 1
+    assert "SortMergeJoin(skew=true) [order_id" in plan
     totals = fact.agg(F.count("*"), F.sum("total_item_value")).first()
     assert tuple(totals) == (N, N * 1.5)
 
@@ -78,6 +80,25 @@ def test_fulfillment_splits_a_hot_reviewed_order(spark, small_partitions):
     assert fact.filter("review_id IS NULL").count() == unreviewed
 
 
+@pytest.mark.parametrize("role", ["customer", "seller"])
+def test_a_hot_zip_is_split(spark, small_partitions, role):
+    hot = F.when(F.col("id") % 3 == 0, "00000").otherwise(
+        F.lpad((F.col("id") % 20_000).cast("string"), 5, "0")
+    )
+    people = spark.range(0, N, 1, 8).select(
+        F.col("id").cast("string").alias("id"), hot.alias(f"{role}_zip_code_prefix")
+    )
+    points = spark.range(0, 40_000, 1, 8).select(
+        F.lpad((F.col("id") % 20_000).cast("string"), 5, "0").alias("geolocation_zip_code_prefix"),
+        F.lit(1.0).alias("geolocation_lat"),
+        F.col("id").cast("double").alias("geolocation_lng"),
+    )
+    located = gold._located(people, points, role)
+    assert "skew=true" in _final_plan(located)
+    assert located.count() == N
+    assert located.filter(f"{role}_lat IS NULL").count() == 0
+
+
 def test_semi_join_splits_a_hot_order(spark, small_partitions):
     payments = _hot(spark).select("order_id", F.lit("boleto").alias("payment_type"), "id")
     kept = clean_payments(payments, _orders(spark))

@@ -113,15 +113,15 @@ def test_failed_table_does_not_hide(lake, tmp_path):
     assert status.pop("sellers") == "FAILED" and set(status.values()) == {"LOADED"}
 
 
-def test_single_line_files_can_be_split(spark, tmp_path, rows):
+def test_files_are_split_unless_fields_may_span_lines(spark, tmp_path, rows):
     path = tmp_path / "s.csv"
     lines = [f"s{i},{i},a city with a rather long name {i},SP" for i in range(20_000)]
     path.write_text("\n".join([SELLER_HEADER, *lines]) + "\n")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128KB")
     try:
-        whole = read_csv(spark, str(path), RAW["sellers"])
-        split = read_csv(spark, str(path), RAW["sellers"], single_line=True)
+        whole = read_csv(spark, str(path), RAW["sellers"], multi_line=True)
+        split = read_csv(spark, str(path), RAW["sellers"])
         assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
         assert rows(whole) == rows(split)
     finally:
