@@ -19,7 +19,7 @@ The top tree has at most ``sample / 8`` shards, so shards grow beyond
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -324,6 +324,21 @@ def keep_one(
     their group; a group of NULL ids keeps one row.
     """
     groups = written(near_groups(docs, shingle, radius, id_col, text_col), "groups")
+    return smallest_stay(
+        docs, groups, lambda df, name: with_fingerprint(df, shingle, text_col, name), id_col
+    )
+
+
+def smallest_stay(
+    docs: DataFrame,
+    groups: DataFrame,
+    marked: Callable[[DataFrame, str], DataFrame],
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """Of each component of ``groups`` (``id fp component``) the rows of the smallest id.
+
+    ``marked(df, name)`` is ``df`` with each row's ``fp`` as column ``name``.
+    """
     key, mark, best = (free_name(docs.columns, n) for n in ("kept_id", "kept_fp", "best_fp"))
     # Of each component, one (id, fingerprint) stays: the smallest.
     winners = written(
@@ -343,7 +358,7 @@ def keep_one(
     kept = docs.join(winners.select(key), on, "left_semi")
     if several.isEmpty():
         return kept
-    again = with_fingerprint(kept.join(several, on, "left_semi"), shingle, text_col, mark)
+    again = marked(kept.join(several, on, "left_semi"), mark)
     chosen = again.join(
         winners.select(key, F.col(mark).alias(best)),
         on & (F.col(mark) == F.col(best)),

@@ -24,6 +24,7 @@ from bazaarlake.llm import (
     quality,
     secrets,
     simhash,
+    similar,
     substrings,
     warc,
 )
@@ -353,6 +354,46 @@ def test_keep_one_of_each_group(docs, rows):
     assert sorted(k for k in kept if k is not None) == sorted({g[2] for g in groups if g[2] is not None})
 
 
+def test_near_duplicates_stage_by_brute_force(spark, docs, empty, rows):
+    rng, texts, steps = random.Random(8), [], []
+    for i in range(60):
+        words = prose(400 + i, rng.randrange(60, 400), 5000).split()
+        texts.append(" ".join(words))
+        for edits in (0.004, 0.01, 0.02, 0.03):  # 5 shingles each
+            copy = words[:]
+            for _ in range(max(1, int(edits * len(words)))):
+                copy[rng.randrange(len(copy))] = f"new{rng.random()}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(texts)))
+    pairs = []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 5 * both >= 4 * (len(a) + len(sets[j]) - both):
+                pairs.append((i, j, both / (len(a) + len(sets[j]) - both)))
+    for _ in range(9):
+        for i, j, _s in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    for low in (0.8, 0.85, 0.9):
+        assert sum(low <= s < low + 0.05 for _, _, s in pairs) >= 10
+    planted = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["id"]: r["component"] for r in similar.similar_groups(planted).collect()}
+    assert found.keys() == set(range(len(texts)))
+    assert all(label[i] == label[c] for i, c in found.items())  # nothing below 0.8 is linked
+    assert sum(found[i] == found[j] for i, j, _ in pairs) >= 0.99 * len(pairs)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, planted, SAMPLE).collect()}
+    assert kept == set(found.values())
+    assert similar.keep_one(empty).count() == 0
+    same_set = collections.defaultdict(list)
+    for r in rows:
+        w = [x.lower() for x in words_of(r[1])]
+        same_set[frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))].append(r[0])
+    kept = [r["doc_id"] for r in similar.keep_one(docs).collect()]
+    assert None not in kept and len(kept) == len(set(kept)) and {0, 3, 4, 23} <= set(kept)
+    assert all(len(set(kept) & set(g)) <= 1 for g in same_set.values())
+
+
 # ---- 8: mixing
 
 
