@@ -182,11 +182,11 @@ class Index:
     def _triples_left(self, n: int) -> int:
         return max(1, n - 2 - 3 * self.settings.edits(n))
 
-    def _candidates(self, codes: np.ndarray, ends: np.ndarray):
+    def _candidates(self, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray):
         """(length, starts, item numbers) of windows that share a key with an item.
 
-        ``codes``: all texts of a batch in a row; ``ends``: for each place the end
-        of its text.
+        ``codes``: all texts of a batch in a row; ``begins``, ``ends``: for each
+        place the bounds of its text. Starts lie in the window's own text.
         """
         lengths_of = self._lengths_of(codes)
         places = np.arange(len(codes))
@@ -196,7 +196,7 @@ class Index:
             stop = np.maximum(np.minimum(places + n, ends) - 2, places)
             at = places[known[stop] - known[:-1] >= self._triples_left(n)]
             if len(at):
-                yield from self._equal_keys(codes, ends, at, n)
+                yield from self._equal_keys(codes, begins, ends, at, n)
 
     def _lengths_of(self, codes: np.ndarray) -> np.ndarray:
         """For each triple the lengths (bit n mod 64) of the items that have it."""
@@ -217,7 +217,7 @@ class Index:
             found |= known[stop] - known[:-1] >= min(map(self._triples_left, lengths))
         return np.unique(owner[found])
 
-    def _equal_keys(self, codes, ends, at, n):
+    def _equal_keys(self, codes, begins, ends, at, n):
         past = len(self.vocabulary) + 1
         for some in np.array_split(at, -(-len(at) // 20_000)):
             spans = some[:, None] + np.arange(n)
@@ -234,11 +234,13 @@ class Index:
                 rep = np.repeat(hit, width[hit])
                 inner = np.arange(len(rep)) - np.repeat(np.cumsum(width[hit]) - width[hit], width[hit])
                 item = order[lo[rep] + inner]
-                # Neighbouring starts are verified together.
-                found.append(np.stack([item, some[rep] // max(1, n // 4)], axis=1))
+                # Neighbouring starts of one text are verified together.
+                start = some[rep]
+                start = start - (start - begins[start]) % max(1, n // 4)
+                found.append(np.stack([item, start], axis=1))
             if found:
                 pairs = np.unique(np.concatenate(found), axis=0)
-                yield n, pairs[:, 1] * max(1, n // 4), pairs[:, 0]
+                yield n, pairs[:, 1], pairs[:, 0]
 
     def _verify(self, codes, begins, ends, n, starts, items):
         """Least edits of each item to any stretch near its start, with the stretch."""
@@ -246,9 +248,9 @@ class Index:
         reach = max(1, n // 4)
         seqs = self.groups[n][0][items]
         size = n + 2 * most + reach
-        first = np.maximum(starts - most, begins[np.minimum(starts, len(codes) - 1)])
+        first = np.maximum(starts - most, begins[starts])
         spans = first[:, None] + np.arange(size)
-        inside = spans < ends[np.minimum(starts, len(codes) - 1)][:, None]
+        inside = spans < ends[starts][:, None]
         text = np.where(inside, codes[np.minimum(spans, len(codes) - 1)], -2)
         # With at most t edits, all but t words of the item occur in the stretch.
         there = (text[:, None, :] == seqs[:, :, None]).any(axis=2).sum(axis=1) >= n - most
@@ -305,8 +307,7 @@ class Index:
         stops = np.cumsum(sizes)
         ends, begins = stops[owner], (stops - sizes)[owner]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for n, starts, items in self._candidates(codes, ends):
-            starts = np.minimum(starts, len(codes) - 1)
+        for n, starts, items in self._candidates(codes, begins, ends):
             names = self.groups[n][1]
             for some in np.array_split(np.arange(len(starts)), -(-len(starts) // 1_000)):
                 checked = self._verify(codes, begins, ends, n, starts[some], items[some])

@@ -168,6 +168,16 @@ def test_token_files_round_trip(docs, rows):
     assert order == sorted(order) and manifest.count() > 3
 
 
+@pytest.mark.parametrize("words", [16, 24, 38, 58])
+def test_items_at_the_start_of_texts_of_one_batch(words):
+    item = prose(700 + words, words, 5000)
+    texts = [(prose(800 + i, 1 + i % 13) + " " if i % 2 else "") + item for i in range(200)]
+    texts = [t + " " + prose(i, i % 29) for i, t in enumerate(texts)]
+    index = decontam.Index([(1, item.encode())], decontam.Settings())
+    got = {hit[0]: hit[2:] for hit in index.search([t.encode() for t in texts])}
+    assert got == {i: (0, 1 + i % 13 if i % 2 else 0, words) for i in range(200)}
+
+
 # ---- 3: secrets
 
 
