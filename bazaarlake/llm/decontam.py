@@ -14,12 +14,16 @@ of any item of their length: an edit touches three word triples at most, so afte
 edits at least L - 2 - 3 t of the window's triples are triples of the items. That
 test loses nothing; it spares the walk for nearly all windows.
 
+Items too short to allow edits are searched exactly, by hashes of their whole word
+sequence. Characters of scripts without spaces are words of their own.
+
 Items are taken in blocks of bounded size, one pass over the documents for each.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,13 +35,21 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from bazaarlake.llm.common import binaries, free_name, session_for
 
+#: Characters of scripts without spaces, and those scripts' marks.
+_SOLID = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+)
+_SOLID_MARKS = re.compile(
+    "[\u3000-\u3004\u3008-\u3020\u3030\u303d-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]"
+)
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
 class Settings:
     """``share``: allowed edits per word. An item shorter than ``least`` words
-    cannot be told from chance and is not searched.
+    with edits cannot be told from chance; it is searched without.
 
     ``walks`` x ``samples`` keys of ``width`` symbols each: with a symbol equal
     with probability p, the recall is 1 - (1 - p ** width) ** (walks * samples).
@@ -60,8 +72,26 @@ def normal(word: bytes) -> bytes:
     return word.strip(MARKS).decode(errors="replace").lower().encode()
 
 
+def raw_words(text: bytes) -> list[bytes]:
+    """Split at ASCII space; characters of scripts without spaces stand alone."""
+    if not text.isascii():
+        plain = text.decode(errors="replace")
+        if _SOLID.search(plain):
+            text = _SOLID.sub(r" \g<0> ", _SOLID_MARKS.sub(" ", plain)).encode()
+    return text.split()
+
+
 def normal_words(text: bytes) -> list[bytes]:
-    return [w for w in map(normal, text.split()) if w]
+    return [w for w in map(normal, raw_words(text)) if w]
+
+
+def _mixed(columns: Iterable[np.ndarray]) -> np.ndarray:
+    """Hash of a sequence of symbols, given as one array per place."""
+    out = np.uint64(0)
+    for column in columns:
+        out = (out ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
 
 
 _PLACES = 1 << 20
@@ -106,7 +136,7 @@ class Index:
         by_length: dict[int, dict[tuple[int, ...], list]] = {}
         for name, text in items:
             got = normal_words(text)
-            if len(got) < settings.least:
+            if not got:
                 continue
             codes = tuple(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in got)
             by_length.setdefault(len(codes), {}).setdefault(codes, []).append(name)
@@ -114,7 +144,9 @@ class Index:
         self.groups = {
             n: (np.array(list(seqs), np.int32), list(seqs.values()))
             for n, seqs in sorted(by_length.items())
+            if n >= settings.least
         }
+        self.short = {n: seqs for n, seqs in sorted(by_length.items()) if n < settings.least}
         self.classes = self._classes()
         self.codes: _Codes | None = None
         self.keys: dict[int, list] = {}
@@ -133,7 +165,7 @@ class Index:
         """In the task: the random functions and the items' keys."""
         self.codes = _Codes(self.vocabulary)
         rng = np.random.default_rng(self.settings.seed)
-        steps = 3 * max(self.groups)
+        steps = 3 * max(self.groups, default=0)
         # 64 steps' bits of each symbol in one word.
         shape = (self.settings.walks, -(-steps // 64), len(self.vocabulary) + 2)
         self.bits = rng.integers(0, 2**64, shape, np.uint64)
@@ -280,33 +312,37 @@ class Index:
             edits[keep],
         )
 
-    def search(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
-        """(text number, item name, edits, first word, words), best per text and item.
-
-        Words count from 0 over the text's normalised words.
-        """
-        if not self.groups:
-            return []
-        if self.codes is None:
-            self._prepare()
-        lookup = self.codes.__getitem__
-        lists = [list(map(lookup, t.split())) for t in texts]
-        sizes = np.array([len(x) for x in lists])
-        codes = np.array([c for x in lists for c in x], np.int32)
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        owner, codes = owner[codes >= 0], codes[codes >= 0]
-        if len(codes) < 3:
-            return []
-        stops = np.cumsum(np.bincount(owner, minlength=len(texts)))
-        texts_left = np.zeros(len(texts), bool)
+    def _exact(self, codes: np.ndarray, owner: np.ndarray, count: int) -> dict:
+        """First place of each short item in each text: (0, place, words) by (text, item name)."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        begins = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))])
+        for n, seqs in self.short.items():
+            last = len(codes) - n + 1
+            if last < 1:
+                continue
+            keys = _mixed(np.array(list(seqs), np.int32).T)
+            mine = _mixed([codes[k : k + last] for k in range(n)])
+            at = np.flatnonzero(np.isin(mine, keys) & (owner[:last] == owner[n - 1 :]))
+            # Once per text and 64-bit key.
+            pairs = np.stack([owner[at].astype(np.uint64), mine[at]], axis=1)
+            at = at[np.unique(pairs, axis=0, return_index=True)[1]]
+            for place in at.tolist():
+                text = int(owner[place])
+                for name in seqs.get(tuple(codes[place : place + n].tolist()), ()):
+                    best[text, name] = (0, place - int(begins[text]), n)
+        return best
+
+    def _near(self, codes: np.ndarray, owner: np.ndarray, count: int, best: dict) -> None:
+        """Adds to ``best`` what is found of the items that allow edits."""
+        stops = np.cumsum(np.bincount(owner, minlength=count))
+        texts_left = np.zeros(count, bool)
         texts_left[self._worth_it(codes, stops[owner], owner)] = True
         if not texts_left.any():
-            return []
+            return
         owner, codes = owner[texts_left[owner]], codes[texts_left[owner]]
-        sizes = np.bincount(owner, minlength=len(texts))
+        sizes = np.bincount(owner, minlength=count)
         stops = np.cumsum(sizes)
         ends, begins = stops[owner], (stops - sizes)[owner]
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for n, starts, items in self._candidates(codes, begins, ends):
             names = self.groups[n][1]
             for some in np.array_split(np.arange(len(starts)), -(-len(starts) // 1_000)):
@@ -318,6 +354,25 @@ class Index:
                         old = best.get((text, name))
                         if old is None or found < old:
                             best[text, name] = found
+
+    def search(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+        """(text number, item name, edits, first word, words), best per text and item.
+
+        Words count from 0 over the text's normalised words.
+        """
+        if not self.groups and not self.short:
+            return []
+        if self.codes is None:
+            self._prepare()
+        lookup = self.codes.__getitem__
+        lists = [list(map(lookup, raw_words(t))) for t in texts]
+        sizes = np.array([len(x) for x in lists])
+        codes = np.array([c for x in lists for c in x], np.int32)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        owner, codes = owner[codes >= 0], codes[codes >= 0]
+        best = self._exact(codes, owner, len(texts))
+        if self.groups and len(codes) >= 3:
+            self._near(codes, owner, len(texts), best)
         return [(text, name, *found) for (text, name), found in sorted(best.items(), key=str)]
 
 
@@ -328,7 +383,7 @@ def blocks(items: DataFrame, settings: Settings, id_col: str, text_col: str) ->
     rows = items.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     for row in rows.filter("text is not null").toLocalIterator():
         text = row["text"].encode()
-        size = len(text.split())
+        size = len(raw_words(text))
         if held and words + size > settings.block_words:
             yield Index(held, settings)
             held, words = [], 0

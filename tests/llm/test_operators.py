@@ -178,6 +178,35 @@ def test_items_at_the_start_of_texts_of_one_batch(words):
     assert got == {i: (0, 1 + i % 13 if i % 2 else 0, words) for i in range(200)}
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "春天的花园里有许多美丽的蝴蝶在飞舞"
+    items = [(1, "Who wrote Hamlet?"), (2, "Paris"), (3, chinese), (4, "東京都"), (5, "... !"), (6, "who WROTE hamlet")]
+    texts = [
+        "a test: who wrote hamlet, and when; who wrote Hamlet again",
+        "who wrote the Hamlet",
+        "far (Paris) away who wrote",
+        "Hamlet",  # the batch's texts do not run into each other
+        "他说：" + chinese[:5] + "，" + chinese[5:] + "。",
+        chinese[:6] + "很" + chinese[7:],  # one edit
+        "私は東京都に住む",
+        "東京の都",
+        None,
+        "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    table = spark.createDataFrame(items, "item_id int, text string")
+    got = {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in decontam.find(docs, table).collect()}
+    assert got == {
+        (0, 1): (0, 2, 3),
+        (0, 6): (0, 2, 3),
+        (2, 2): (0, 1, 1),
+        (4, 3): (0, 2, 17),
+        (5, 3): (1, 0, 17),
+        (6, 4): (0, 2, 3),
+    }
+    assert sorted(r["doc_id"] for r in decontam.clean(docs, table).collect()) == [1, 3, 7, 8, 9]
+
+
 # ---- 3: secrets
 
 
