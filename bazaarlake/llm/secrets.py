@@ -1,6 +1,7 @@
 """Secret scan: wide candidates, then a random forest against false positives.
 
-Candidates are long runs of code-like characters. Their length, changes of
+Candidates are all long runs of code-like characters, and shorter ones that a
+credential's name is assigned to. Their length, changes of
 character class, dictionary coverage, path context and neighbouring words go to a
 random forest trained on labelled findings. Everything runs as DataFrame and ML
 expressions in the JVM.
@@ -31,42 +32,85 @@ FEATURES = [
     "placeholder_word",
 ]
 _CREDENTIAL = "(?i)(token|secret|passw|pwd|api.?key|access.?key|credential|auth|bearer)"
+#: Between a name and what is assigned to it; also over word breaks.
+_ASSIGN = "[\"'`]?\\s{0,3}(:|=)[:=>]{0,2}\\s{0,3}[\"'`]{0,3}"
+#: Characters that end a field of JSON, CSV or a URL's query.
+_FIELD = "?&#,;(){}\\[\\]"
 _PLACEHOLDER = "(?i)(example|sample|dummy|placeholder|your|test|fake|xxxx|changeme)"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def candidates(
-    docs: DataFrame, shortest: int = 20, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    shortest: int = 20,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shortest_named: int = 6,
 ) -> DataFrame:
-    """``id place finding before next around``: a row per word with a code-like run.
+    """``id place offset finding before prefix suffix next``: a row per code-like run.
 
-    ``place`` is the word's number in the text. NULL text has none.
+    A run has ``shortest`` characters, or ``shortest_named`` if a credential's name is
+    assigned to it. ``place`` is the word's number in the text, ``offset`` the run's
+    in the word; prefix and suffix are the rest of the word. NULL text has none.
     """
+    named = f"{_CREDENTIAL}[A-Za-z0-9_.-]*{_ASSIGN}"
+
+    def before(tokens: Column, at: Column) -> Column:
+        return F.concat_ws(" ", F.get(tokens, at - 3), F.get(tokens, at - 2), F.get(tokens, at - 1))
 
     def found(tokens: Column) -> Column:
         def one(word: Column, at: Column) -> Column:
-            run = F.regexp_extract(word, f"{RUN}{{{shortest},}}", 0)
+            long = (F.length(word) >= shortest) & word.rlike(f"{RUN}{{{shortest}}}")
+            left = F.concat_ws(" ", before(tokens, at), word)
+            short = F.col("names") & (F.length(word) >= shortest_named) & left.rlike(f"{named}{RUN}{{{shortest_named}}}")
             return F.when(
-                (F.length(word) >= shortest) & (run != ""),
+                long | short,
                 F.struct(
                     at.alias("place"),
-                    run.alias("finding"),
-                    word.alias("around"),
-                    F.concat_ws(" ", F.get(tokens, at - 3), F.get(tokens, at - 2), F.get(tokens, at - 1)).alias(
-                        "before"
-                    ),
+                    word.alias("word"),
+                    before(tokens, at).alias("before"),
                     F.coalesce(F.get(tokens, at + 1), F.lit("")).alias("next"),
                 ),
             )
 
         return F.filter(F.transform(tokens, one), lambda x: x.isNotNull())
 
+    def runs(pieces: Column) -> Column:
+        def one(piece: Column, at: Column) -> Column:
+            def joined(start: Column | int, size: Column) -> Column:
+                return F.array_join(F.slice(pieces, start, size), "")
+
+            prefix = joined(1, at)
+            # A short run that holds its own name, as in password=..., is cut to the value.
+            own = F.when(
+                F.length(piece) < shortest, F.regexp_extract(piece, f"^[A-Za-z0-9_-]*?{_CREDENTIAL}[A-Za-z0-9_-]*=+", 0)
+            ).otherwise("")
+            value = F.substring(piece, F.length(own) + 1, F.length(piece))
+            left = F.concat_ws(" ", "before", F.concat(prefix, own))
+            wanted = (F.length(piece) >= shortest) | (
+                (F.length(value) >= shortest_named) & left.rlike(f"{named}$")
+            )
+            return F.when(
+                wanted & piece.rlike(f"^{RUN}"),
+                F.struct(
+                    (F.length(prefix) + F.length(own)).alias("offset"),
+                    value.alias("finding"),
+                    F.concat(prefix, own).alias("prefix"),
+                    joined(at + 2, F.size(pieces)).alias("suffix"),
+                ),
+            )
+
+        return F.filter(F.transform(pieces, one), lambda x: x.isNotNull())
+
     text = F.col(f"`{text_col}`")
     return (
         docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
-        .filter(F.col("text").rlike(f"{RUN}{{{shortest}}}"))
+        .withColumn("names", F.col("text").rlike(named))
+        .filter(F.col("names") | F.col("text").rlike(f"{RUN}{{{shortest}}}"))
         .select("id", F.explode(let(words("text"), found)).alias("c"))
         .select("id", "c.*")
+        .withColumn("r", F.explode(let(F.split("word", f"(?<={RUN})(?!{RUN})|(?<!{RUN})(?={RUN})", -1), runs)))
+        .select("id", "place", "before", "next", "r.*")
     )
 
 
@@ -95,6 +139,18 @@ def featured(found: DataFrame, known: list[str]) -> DataFrame:
     # Longer words first, so that one covers as much as it can.
     pattern = "|".join(sorted(known, key=lambda w: (-len(w), w)))
     bare = F.regexp_replace(F.lower(run), pattern, "") if known else run
+    # Of the run's word only the field around the run; words before only if they border on it.
+    field = F.regexp_extract("prefix", f"[^{_FIELD}]*$", 0)
+    name = F.regexp_extract("finding", "^[A-Za-z][A-Za-z0-9_-]*=+(?=.)", 0)
+    left = F.concat_ws(
+        " ", F.when(F.length("prefix") - F.length(field) <= 2, F.col("before")), F.concat(field, name)
+    )
+    found = found.withColumns(
+        {
+            "around": F.concat(field, "finding", F.regexp_extract("suffix", f"^[^{_FIELD}]*", 0)),
+            "left": left,
+        }
+    )
     near = F.concat_ws(" ", "before", "around", "next")
     return found.withColumns(
         {
@@ -104,9 +160,9 @@ def featured(found: DataFrame, known: list[str]) -> DataFrame:
             "distinct_share": F.size(F.array_distinct(F.split(run, ""))) / size,
             "coverage": (size - F.length(bare)) / size,
             "in_path": F.col("around").rlike("://|(^|[^A-Za-z0-9+=])/|[.][a-z]{2,4}$|/.*/.*/").cast("double"),
-            "assigned": F.concat_ws(" ", "before", "around").rlike("[=:]").cast("double"),
-            "quoted": F.col("around").rlike("^[\"'`]").cast("double"),
-            "credential_word": F.col("before").rlike(_CREDENTIAL).cast("double"),
+            "assigned": F.col("left").rlike("[=:]").cast("double"),
+            "quoted": F.col("prefix").rlike("[\"'`]$").cast("double"),
+            "credential_word": F.col("left").rlike(_CREDENTIAL).cast("double"),
             "placeholder_word": near.rlike(_PLACEHOLDER).cast("double"),
         }
     )
@@ -136,7 +192,7 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``id place finding`` with the features, ``probability`` and ``kept``.
+    """``id place offset finding`` with the features, ``probability`` and ``kept``.
 
     ``labelled`` has FEATURES and ``label`` (0 or 1), such as reviewed findings of
     an earlier scan; without it weak labels of this scan are used. The forest is
@@ -162,7 +218,7 @@ def scan(
         "labelled",
     )
     kinds = [r["label"] for r in sample.select("label").distinct().orderBy("label").collect()]
-    columns = ["id", "place", "finding", *FEATURES]
+    columns = ["id", "place", "offset", "finding", *FEATURES]
     if len(kinds) < 2:
         verdict = F.lit(float(kinds[0]) if kinds else 1.0)
         scored = found.select(*columns, verdict.alias("probability"))

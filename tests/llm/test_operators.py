@@ -223,6 +223,33 @@ def test_secrets_from_labels(spark):
     assert got[0]["transitions"] > 5 and got[0]["place"] == 4 and len(got) == 61
 
 
+def test_every_run_of_a_word_is_a_candidate(spark):
+    a, b = "0123456789abcdef0123456789abcdef01234567", "fedcba9876543210fedcba9876543210fedcba98"
+    texts = [
+        f'x {{"id":"{a}","secret":"{b}"}} y',
+        f"k1:{a},k2:{b}",
+        f"https://host.example/files/aaaaaaaaaaaaaaaaaaaaaaa/x.html?token={b}",
+        "my password = hunter2x ok",
+        'password="hunter2x", user=somebody1',
+        "password=hunter2x",
+        '{"user":"somebody1","password":"hunter2x"}',
+        "no password is here somewhere2",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {}
+    for r in secrets.featured(secrets.candidates(docs), []).collect():
+        got.setdefault(r["id"], []).append(r)
+        word = texts[r["id"]].split()[r["place"]]
+        assert word[r["offset"] :].startswith(r["finding"])
+    found = {i: [r["finding"] for r in sorted(g, key=lambda r: r["offset"])] for i, g in got.items()}
+    short = {i: ["hunter2x"] for i in (3, 4, 5, 6)}
+    path = "example/files/aaaaaaaaaaaaaaaaaaaaaaa/x"
+    assert found == {0: [a, b], 1: [a, b], 2: [path, f"token={b}"], **short}
+    assert {r["finding"]: r["credential_word"] for r in got[0]} == {a: 0, b: 1}
+    assert {r["finding"]: r["in_path"] for r in got[2]} == {path: 1, f"token={b}": 0}
+    assert all(g[0]["credential_word"] == g[0]["assigned"] == 1 for i, g in got.items() if i >= 3)
+
+
 # ---- 4: language model
 
 
