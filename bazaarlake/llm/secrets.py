@@ -36,7 +36,7 @@ _CREDENTIAL = "(?i)(token|secret|passw|pwd|api.?key|access.?key|credential|auth|
 _ASSIGN = "[\"'`]?\\s{0,3}(:|=)[:=>]{0,2}\\s{0,3}[\"'`]{0,3}"
 #: Characters that end a field of JSON, CSV or a URL's query.
 _FIELD = "?&#,;(){}\\[\\]"
-_PLACEHOLDER = "(?i)(example|sample|dummy|placeholder|your|test|fake|xxxx|changeme)"
+_PLACEHOLDER = "(?i)(?<![a-z])(example|sample|dummy|placeholder|your|test|fake|changeme)(?![a-z])|xxxx"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -151,7 +151,6 @@ def featured(found: DataFrame, known: list[str]) -> DataFrame:
             "left": left,
         }
     )
-    near = F.concat_ws(" ", "before", "around", "next")
     return found.withColumns(
         {
             "length": size.cast("double"),
@@ -163,7 +162,7 @@ def featured(found: DataFrame, known: list[str]) -> DataFrame:
             "assigned": F.col("left").rlike("[=:]").cast("double"),
             "quoted": F.col("prefix").rlike("[\"'`]$").cast("double"),
             "credential_word": F.col("left").rlike(_CREDENTIAL).cast("double"),
-            "placeholder_word": near.rlike(_PLACEHOLDER).cast("double"),
+            "placeholder_word": F.col("around").rlike(_PLACEHOLDER).cast("double"),
         }
     )
 
@@ -171,14 +170,14 @@ def featured(found: DataFrame, known: list[str]) -> DataFrame:
 def weak_labels(found: DataFrame) -> DataFrame:
     """Labels where a finding's surroundings leave no doubt, for want of reviewed ones.
 
-    1: a run with digits assigned to a credential's name, no placeholder near.
-    0: a run of letters alone, in a path, or with a placeholder near.
+    1: a run with digits assigned to a credential's name, no placeholder in its field.
+    0: a run of letters alone, in a path, or with a placeholder in its field.
+    A run that is both assigned to a credential's name and with a placeholder has none.
     """
     sure = (F.col("credential_word") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0.1)
-    harmless = (
-        (F.col("digit_share") == 0) | (F.col("in_path") == 1) | (F.col("placeholder_word") == 1)
-    )
-    label = F.when(harmless, 0.0).when(sure, 1.0)
+    placeholder = F.col("placeholder_word") == 1
+    harmless = (F.col("digit_share") == 0) | (F.col("in_path") == 1) | (placeholder & ~sure)
+    label = F.when(harmless, 0.0).when(sure & ~placeholder, 1.0)
     return found.withColumn("label", label).filter("label is not null")
 
 

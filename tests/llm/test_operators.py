@@ -250,6 +250,19 @@ def test_every_run_of_a_word_is_a_candidate(spark):
     assert all(g[0]["credential_word"] == g[0]["assigned"] == 1 for i, g in got.items() if i >= 3)
 
 
+def test_placeholders_count_in_the_own_field_only(spark):
+    h = "0123456789abcdef0123456789abcdef01234567"
+    texts = [
+        f"mail bo@mail6.example.com token = {h} greatest",
+        f"the latest contest token = {h} yourself",
+        f"token = your_key_{h}",  # sure and a placeholder: no label
+        f"id your_key_{h}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = secrets.featured(secrets.candidates(docs), [])
+    assert {r["id"]: r["label"] for r in secrets.weak_labels(found).collect()} == {0: 1, 1: 1, 3: 0}
+
+
 # ---- 4: language model
 
 
