@@ -6,14 +6,14 @@ import pytest
 from conftest import SAMPLE
 
 import __spark_entry__ as contract
+from bazaarlake.plans.queries import QUERIES
 from oracle.check import database, difference
+from oracle.sql import ORACLES
 
 pytestmark = pytest.mark.skipif(
     not os.path.isdir(SAMPLE), reason="sample tables not present"
 )
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def db():
@@ -29,5 +29,10 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_the_contract_has_them_all():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
