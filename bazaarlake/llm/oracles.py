@@ -1,5 +1,7 @@
 """The queries that SQL can express, as SQL over the same tables."""
 
+import itertools
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _COUNTS = rf"""
@@ -102,4 +104,57 @@ FROM b LEFT JOIN f
   ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
 """
 
-ORACLES = {"op10_adaptive_quality": OP10}
+_ORDERS = ", ".join(f"('{''.join(p)}')" for p in itertools.permutations("ABCDE"))
+
+OP11 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+f AS (
+  SELECT doc_id, part,
+    CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t)
+       THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d
+),
+g AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels GROUP BY doc_id
+),
+c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+    count(*) FILTER (WHERE toxic) AS toxic
+  FROM f LEFT JOIN g USING (doc_id) GROUP BY ALL
+),
+o AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter,
+    substr(filter_order, 1, step - 1) AS earlier
+  FROM (VALUES {_ORDERS}) AS p(filter_order), range(1, 6) AS s(step)
+),
+x AS (
+  SELECT *, contains(fails, letter) AS hit, translate(fails, earlier, '') = fails AS here
+  FROM c, o
+),
+y AS (
+  SELECT part, filter_order, step, letter,
+    CAST(sum(n) FILTER (WHERE here AND NOT hit) AS BIGINT) AS kept,
+    CAST(sum(n) FILTER (WHERE here AND hit) AS BIGINT) AS removed,
+    CAST(sum(n) FILTER (WHERE hit AND NOT here) AS BIGINT) AS redundant,
+    CAST(sum(n) FILTER (WHERE fails = letter) AS BIGINT) AS unique_fails,
+    CAST(sum(good) FILTER (WHERE here AND hit) AS BIGINT) AS good_lost,
+    CAST(sum(toxic) FILTER (WHERE here AND hit) AS BIGINT) AS toxic_lost
+  FROM x GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed,
+  coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails,
+  coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, letter), 0) AS BIGINT) AS shapley
+FROM y
+"""
+
+ORACLES = {"op10_adaptive_quality": OP10, "op11_filter_audit": OP11}

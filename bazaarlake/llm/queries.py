@@ -11,6 +11,7 @@ from bazaarlake.llm import (
     attribution,
     codes,
     decontam,
+    filter_audit,
     language_model,
     mixing,
     quality,
@@ -110,6 +111,11 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("row.doc_id", *[f"counts.{c}" for c in counts], "base_failed", "kept")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every filter removes in every order of the five, per source."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_section_tokens": op1_section_tokens,
     "op2_token_codes": op2_token_codes,
@@ -121,4 +127,5 @@ QUERIES: dict[str, Query] = {
     "op8_weighted_mix": op8_weighted_mix,
     "op9_warc": op9_warc,
     "op10_adaptive_quality": op10_adaptive_quality,
+    "op11_filter_audit": op11_filter_audit,
 }

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+import types
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,18 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=1)
 def encoder_for(path: str) -> Encoder:
-    """The Python worker's encoder: tasks that share a worker share its units."""
-    return Encoder(path)
+    """The Python worker's encoder: tasks that share a worker share its units.
+
+    This code reaches a worker by value, with globals of its own in every task; what
+    tasks share is kept in a module that the worker makes.
+    """
+    shared = sys.modules.setdefault("bazaarlake_worker", types.ModuleType("bazaarlake_worker"))
+    known = vars(shared).setdefault("encoders", {})
+    if path not in known:
+        known.clear()
+        known[path] = Encoder(path)
+    return known[path]
 
 
 class Encoder:
