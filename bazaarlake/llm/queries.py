@@ -13,6 +13,7 @@ from bazaarlake.llm import (
     decontam,
     filter_audit,
     language_model,
+    merkle,
     mixing,
     quality,
     secrets,
@@ -116,6 +117,25 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, folded again from its leaf, tampered with for half the ids."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    changed = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.leaf_of([*map(F.col, fields), changed])
+    got = merkle.manifest(docs, [*fields, "text"], also={"found": found})
+    return got.withColumn("folded_root", merkle.folded(F.col("found"), "proof", "steps")).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_section_tokens": op1_section_tokens,
     "op2_token_codes": op2_token_codes,
@@ -128,4 +148,5 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_adaptive_quality": op10_adaptive_quality,
     "op11_filter_audit": op11_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
