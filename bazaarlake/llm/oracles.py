@@ -157,4 +157,25 @@ SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0)
 FROM y
 """
 
-ORACLES = {"op10_adaptive_quality": OP10, "op11_filter_audit": OP11}
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM p
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 20
+"""
+
+ORACLES = {
+    "op10_adaptive_quality": OP10,
+    "op11_filter_audit": OP11,
+    "op12_onebit_neighbours": OP12,
+}

@@ -15,6 +15,7 @@ from bazaarlake.llm import (
     language_model,
     merkle,
     mixing,
+    onebit,
     quality,
     secrets,
     simhash,
@@ -117,6 +118,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_onebit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id 20 divides."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return onebit.search(onebit.build(vectors), vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, folded again from its leaf, tampered with for half the ids."""
     docs = _table(spark, sf_dir, "documents")
@@ -148,5 +155,6 @@ QUERIES: dict[str, Query] = {
     "op9_warc": op9_warc,
     "op10_adaptive_quality": op10_adaptive_quality,
     "op11_filter_audit": op11_filter_audit,
+    "op12_onebit_neighbours": op12_onebit_neighbours,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
