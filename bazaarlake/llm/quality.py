@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import SPACES, let, same, words, written
+from bazaarlake.llm.common import SPACES, free_name, let, same, words, written
 from bazaarlake.session import tune
 
 SYMBOLS = "#*$%&|<>"
@@ -279,6 +279,24 @@ def verdicts(
     )
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The documents the rules keep, with their own columns."""
-    return verdicts(docs, **options).filter("kept").select("row.*")
+def keep_good(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    groups: Sequence[str] = ("lang", "source"),
+    **options,
+) -> DataFrame:
+    """The documents the rules keep, with their own columns.
+
+    Rows are told apart by their id and a hash of what the rules see, so only counts
+    are written; a row's text is shuffled once, to its verdict.
+    """
+    seen, key, mark = (free_name(docs.columns, n) for n in ("seen", "kept_id", "kept_hash"))
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in (text_col, *groups)])
+    found = verdicts(
+        docs.withColumn(seen, hashed), text_col=text_col, groups=groups, columns=[id_col, seen], **options
+    )
+    kept = found.filter("kept").select(
+        F.col(f"row.`{id_col}`").alias(key), F.col(f"row.`{seen}`").alias(mark)
+    ).distinct()
+    return docs.join(kept, same(F.col(f"`{id_col}`"), F.col(key)) & (hashed == F.col(mark)), "left_semi")
