@@ -67,15 +67,7 @@ def sales_summary_mart(
         m["avg_price"].alias("avg_item_price"),
         m["freight"].alias("total_freight"),
     )
-    days = dim_date.withColumnRenamed("date_key", "purchase_date_key")
-    dated = daily.join(days, "purchase_date_key", "right" if densify else "inner")
-    # At most one row per calendar day from here on.
-    grown = period_growth(
-        dated, "total_revenue", "purchase_date_key", output="revenue_day_growth_pct"
-    )
-    mart = conform(
-        grown.filter("total_orders IS NOT NULL"), PLATINUM["sales_summary_mart"]
-    )
+    mart = with_calendar(daily, dim_date, densify=densify)
     if payments_once:
         once = (
             fact_sales.groupBy("purchase_date_key", "order_id")
@@ -87,6 +79,21 @@ def sales_summary_mart(
     return mart
 
 
+def with_calendar(
+    daily: DataFrame, dim_date: DataFrame, *, densify: bool = False
+) -> DataFrame:
+    """The daily mart from figures per ``purchase_date_key``."""
+    days = dim_date.withColumnRenamed("date_key", "purchase_date_key")
+    dated = daily.join(days, "purchase_date_key", "right" if densify else "inner")
+    # At most one row per calendar day from here on.
+    grown = period_growth(
+        dated, "total_revenue", "purchase_date_key", output="revenue_day_growth_pct"
+    )
+    return conform(
+        grown.filter("total_orders IS NOT NULL"), PLATINUM["sales_summary_mart"]
+    )
+
+
 def customer_mart(
     fact_sales: DataFrame, dim_customers: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
@@ -101,6 +108,13 @@ def customer_mart(
         m["avg_price"].alias("avg_item_price"),
         F.max("purchase_date_key").alias("last_purchase_date_key"),
     )
+    return with_customer(per_customer, dim_customers, dim_date)
+
+
+def with_customer(
+    per_customer: DataFrame, dim_customers: DataFrame, dim_date: DataFrame
+) -> DataFrame:
+    """The customer mart from figures per ``customer_id``."""
     days = dim_date.select(
         F.col("date_key").alias("last_purchase_date_key"),
         F.col("full_date").alias("last_purchase_date"),
@@ -126,6 +140,11 @@ def product_mart(fact_sales: DataFrame, dim_products: DataFrame) -> DataFrame:
         mean_money(F.col("freight_value")).alias("avg_freight"),
         m["freight"].alias("total_freight"),
     )
+    return with_product(per_product, dim_products)
+
+
+def with_product(per_product: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """The product mart from figures per ``product_id``."""
     return conform(
         per_product.join(dim_products, "product_id").withColumnRenamed(
             "product_category_en", "category"
@@ -222,13 +241,18 @@ def kpi_summary(
         ),
         F.count(score).alias("total_reviews"),
     )
-    figures = _one_row(
+    return headline(
         sales,
         quality,
         _distinct_count(fact_sales, "order_id", "total_orders"),
         _distinct_count(fact_sales, "seller_id", "total_sellers"),
         _distinct_count(fact_sales, "product_id", "total_products"),
     )
+
+
+def headline(*parts: DataFrame) -> DataFrame:
+    """The KPI row from one-row tables with its sums, counts and rates."""
+    figures = _one_row(*parts)
     revenue, customers = F.col("revenue"), F.col("total_customers")
     return conform(
         figures.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.contracts import GOLD, PLATINUM, RAW
@@ -21,13 +21,14 @@ from bazaarlake.operators import quality
 from bazaarlake.operators.cleaning import clean_all, clean_geolocation
 from bazaarlake.operators.schema import normalize_types
 from bazaarlake.operators.upsert import upsert, upsert_partitions
-from bazaarlake.plans import gold, insights, marts, reports, views
+from bazaarlake.plans import gold, insights, marts, reports, upkeep, views
 from bazaarlake.plans.pipeline import FACT_CLUSTERS, FACT_PARTITIONS
 from bazaarlake.session import durable, scratch_path, tune
 from bazaarlake.sources import catalog
 from bazaarlake.sources.csv_drop import full_load, incremental_load, read_csv
 from bazaarlake.sources.layers import Lake, clustered, with_period
 from bazaarlake.sources.star_sample import raw_tables
+from bazaarlake.streaming.daily_mart import daily_mart, start_daily_mart
 from bazaarlake.streaming.drops import start_upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,6 +451,129 @@ def catalog_view(s: Sample) -> DataFrame:
     return s.spark.table(f"{database}.vw_customer_tiers")
 
 
+# ---- marts kept up from changes ----
+
+
+def _order_changes(s: Sample) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(clean tables, changes to them): orders that move to other days and customers,
+    other prices, products, payments and scores, and orders not seen before."""
+    number = F.col("order_id").try_cast("bigint")
+
+    def when(divisor: int, rest: int, value, column: str):
+        return F.when(number % divisor == rest, value).otherwise(F.col(column))
+
+    bought, first = F.col("order_purchase_timestamp"), F.col("order_item_id") == 1
+    edits = {
+        "orders": (13, 2, {
+            "customer_id": when(39, 2, F.lit("1"), "customer_id"),
+            "order_purchase_timestamp": bought + F.expr("INTERVAL 3 DAYS"),
+        }),
+        "order_items": (17, 5, {
+            "price": F.col("price") + 1.5,
+            "product_id": F.when(first, F.lit("7")).otherwise(F.col("product_id")),
+        }),
+        "order_payments": (19, 3, {"payment_value": F.col("payment_value") + 2.25}),
+        "order_reviews": (23, 4, {"review_score": F.lit(5)}),
+    }
+    before, changes = {}, {}
+    for name, (divisor, rest, columns) in edits.items():
+        table = s.clean[name]
+        edited = table.withColumns(
+            {c: when(divisor, rest, value, c).cast(table.schema[c].dataType) for c, value in columns.items()}
+        )
+        before[name] = durable(table.filter(number % 29 != 0), f"before-{name}")
+        changes[name] = durable(edited.filter((number % divisor == rest) | (number % 29 == 0)), f"new-{name}")
+    return before, changes
+
+
+def _kept_up(s: Sample, label: str) -> Plans:
+    """Marts of states built before the changes, which were then carried through."""
+    before, changes = _order_changes(s)
+    kept = upkeep.Upkeep(s.fresh_lake(label))
+    star = gold.star_schema(before)
+    kept.build(durable(star["fact_sales"], "lines"), durable(star["fact_order_fulfillment"], "steps"))
+    after = kept.apply(before, changes, "changes")
+    dims = {name: s.clean[name] for name in s.clean if name not in after}
+    return kept.marts(gold.star_schema({**dims, **after}))
+
+
+@query
+def mart_from_changes(s: Sample) -> DataFrame:
+    return _kept_up(s, "daily-upkeep")["sales_summary_mart"]
+
+
+@query
+def customer_mart_from_changes(s: Sample) -> DataFrame:
+    return _kept_up(s, "customer-upkeep")["customer_mart"]
+
+
+@query
+def product_mart_from_changes(s: Sample) -> DataFrame:
+    return _kept_up(s, "product-upkeep")["product_mart"]
+
+
+@query
+def kpi_from_changes(s: Sample) -> DataFrame:
+    return _kept_up(s, "kpi-upkeep")["kpi_summary"]
+
+
+@query
+def views_from_changes(s: Sample) -> DataFrame:
+    """Customers by state and tier: two BI views over marts that changes keep up."""
+    kept = _kept_up(s, "view-upkeep")
+    kept = {"customer_mart": durable(kept["customer_mart"], "kept-customers")}
+    by_state, by_tier = (
+        views.view_query(s.spark, name, kept).select(
+            F.lit(name).alias("view_name"),
+            F.col(group).alias("name"),
+            F.col("customer_count").cast("bigint").alias("customer_count"),
+            "total_revenue",
+        )
+        for name, group in (
+            ("vw_customer_state_summary", "customer_state"),
+            ("vw_customer_tiers", "spending_tier"),
+        )
+    )
+    return by_state.unionByName(by_tier)
+
+
+@query
+def stream_daily_mart(s: Sample) -> DataFrame:
+    """The daily mart after three drops through the state store.
+
+    Lines of some orders and headers of others come late, and the second drop
+    delivers the first one's lines again. The sample repeats line numbers, which the
+    mart does not show; here every line of an order gets a number of its own.
+    """
+    lake = s.fresh_lake("stream-mart")
+    folder, checkpoint = f"{lake.root}/drops", f"{lake.root}/checkpoint"
+    number = F.coalesce(F.col("order_id").try_cast("bigint"), F.lit(0))
+    late_lines, late_head = number % 5 == 0, number % 7 == 0
+    first, last = number % 3 == 0, number % 3 == 2
+    drops = (
+        {
+            "orders": first & ~late_head,
+            "order_items": first & ~late_lines,
+            "order_payments": first | last,
+        },
+        {"orders": number % 3 == 1, "order_items": (first & ~late_lines) | (number % 3 == 1)},
+        {
+            "orders": last | (first & late_head),
+            "order_items": last | (first & late_lines),
+            "order_payments": number % 3 == 1,
+        },
+    )
+    one = Window.partitionBy("order_id").orderBy(*RAW["order_items"].columns)
+    lines = s.raw["order_items"].withColumn("order_item_id", F.row_number().over(one))
+    tables = {**s.raw, "order_items": durable(lines, "numbered-lines")}
+    for drop in drops:
+        for name, wanted in drop.items():
+            rows = tables[name].filter(wanted)
+            rows.write.mode("append").csv(f"{folder}/{name}", header=True, escape='"')
+        start_daily_mart(lake, folder, checkpoint).awaitTermination()
+    return daily_mart(lake)
+
+
 # ---- insights ----
 
 

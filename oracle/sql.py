@@ -439,22 +439,54 @@ CTES: dict[str, str] = {
 _WORD = re.compile(r"[a-z_]+")
 
 
-def with_ctes(body: str) -> str:
-    """``body`` with the common table expressions it needs, in order."""
+def with_ctes(body: str, other: dict[str, str] | None = None) -> str:
+    """``body`` with the common table expressions it needs, in order; ``other`` replaces some."""
+    tables = {**CTES, **(other or {})}
     needed: list[str] = []
 
     def visit(text: str) -> None:
         for word in _WORD.findall(text):
-            if word in CTES and word not in needed:
-                visit(CTES[word])
+            if word in tables and word not in needed:
+                visit(tables[word])
                 if word not in needed:
                     needed.append(word)
 
     visit(body)
-    heads = ", ".join(f"{name} as ({CTES[name]})" for name in needed)
+    heads = ", ".join(f"{name} as ({tables[name]})" for name in needed)
     return f"with {heads} {body}" if needed else body
 
 
+def _edited(table: str, **columns: str) -> str:
+    new = ", ".join(f"{value} as {name}" for name, value in columns.items())
+    return f"select * replace ({new}) from ({CTES[table]}) as unedited"
+
+
+def _where(divisor: int, rest: int, value: str, column: str) -> str:
+    return f"""case when cast(order_id as bigint) % {divisor} = {rest} then {value}
+                    else {column} end"""
+
+
+# The clean tables after their changes.
+_CHANGED = {
+    "orders_c": _edited(
+        "orders_c",
+        customer_id=_where(39, 2, "'1'", "customer_id"),
+        order_purchase_timestamp=_where(
+            13, 2, "order_purchase_timestamp + interval 3 day", "order_purchase_timestamp"
+        ),
+    ),
+    "items_c": _edited(
+        "items_c",
+        price=_where(17, 5, "price + 1.5", "price"),
+        product_id=_where(17, 5, "case when order_item_id = 1 then '7' else product_id end", "product_id"),
+    ),
+    "payments_c": _edited(
+        "payments_c", payment_value=_where(19, 3, "payment_value + 2.25", "payment_value")
+    ),
+    "reviews_c": _edited("reviews_c", review_score=_where(23, 4, "5", "review_score")),
+}
+
+
 def _tier(value: str, steps: list[tuple[int, str]], rest: str) -> str:
     whens = " ".join(f"when {value} >= {n} then '{label}'" for n, label in steps)
     return f"case {whens} else '{rest}' end"
@@ -881,6 +913,7 @@ BODIES: dict[str, str] = {
         from reviews_c""",
     "csv_incremental_load": "select * from upserted_customers",
     "stream_upsert": "select * from upserted_customers",
+    "stream_daily_mart": "select * from sales_mart",
     "partitioned_fact_sales": """
         select *, cast(purchase_date_key // 10000 as integer) as year,
                cast(purchase_date_key // 100 % 100 as integer) as month
@@ -963,4 +996,21 @@ BODIES: dict[str, str] = {
         from ({_RFM}) people group by 1""",
 }
 
-ORACLES: dict[str, str] = {name: with_ctes(body) for name, body in BODIES.items()}
+AFTER_CHANGES = {
+    "mart_from_changes": "select * from sales_mart",
+    "customer_mart_from_changes": "select * from customer_mart",
+    "product_mart_from_changes": "select * from product_mart",
+    "kpi_from_changes": "select * from kpi",
+    "views_from_changes": f"""
+        select 'vw_customer_state_summary' as view_name, customer_state as name,
+               customer_count, total_revenue
+        from ({_BY_STATE}) by_state
+        union all
+        select 'vw_customer_tiers', spending_tier, customer_count, total_revenue
+        from ({_TIERS}) by_tier""",
+}
+
+ORACLES: dict[str, str] = {
+    **{name: with_ctes(body) for name, body in BODIES.items()},
+    **{name: with_ctes(body, _CHANGED) for name, body in AFTER_CHANGES.items()},
+}
