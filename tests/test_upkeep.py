@@ -168,7 +168,8 @@ def test_untouched_orders_are_not_shuffled(lake, table):
     for name, df in frames(table, many).items():
         df.write.parquet(f"{lake.root}/{name}")
         before[name] = lake.spark.read.parquet(f"{lake.root}/{name}")
-    touched = table("order_id string", ("7",))
+    table("order_id string", ("7",)).write.parquet(f"{lake.root}/touched")
+    touched = lake.spark.read.parquet(f"{lake.root}/touched")  # as apply() passes it
     lines, _ = upkeep.signed_changes(before, before, touched)
     assert lines.count() == 2
     plan = lines._jdf.queryExecution().executedPlan().toString()
