@@ -17,11 +17,11 @@ from bazaarlake.functions.dates import date_key
 from bazaarlake.functions.growth import period_growth
 from bazaarlake.functions.money import sum_money
 from bazaarlake.lazy import Plans
-from bazaarlake.operators import quality
+from bazaarlake.operators import profile, quality
 from bazaarlake.operators.cleaning import clean_all, clean_geolocation
 from bazaarlake.operators.schema import normalize_types
 from bazaarlake.operators.upsert import upsert, upsert_partitions
-from bazaarlake.plans import gold, insights, marts, reports, upkeep, views
+from bazaarlake.plans import gold, insights, marts, reports, sketches, upkeep, views
 from bazaarlake.plans.pipeline import FACT_CLUSTERS, FACT_PARTITIONS
 from bazaarlake.session import durable, scratch_path, tune
 from bazaarlake.sources import catalog
@@ -574,6 +574,64 @@ def stream_daily_mart(s: Sample) -> DataFrame:
     return daily_mart(lake)
 
 
+# ---- mergeable states ----
+
+
+def _customer_states(s: Sample) -> DataFrame:
+    """Days' sketches stored in three lots, the last of them a lot again."""
+    lake = s.fresh_lake("visitors")
+    lines = durable(s.star["fact_sales"].select("customer_id", "purchase_date_key", "order_id"), "lines")
+    half = F.col("order_id").cast("bigint") % 2
+    for name, rest in (("even", 0), ("odd", 1), ("odd-again", 1)):
+        states = sketches.daily_customers(lines.filter(half == rest))
+        sketches.add_states(lake, "customers", states, name)
+    return sketches.states(lake, "customers")
+
+
+@query
+def distinct_customers_by_period(s: Sample) -> DataFrame:
+    return sketches.distinct_by_period(_customer_states(s))
+
+
+@query
+def customer_flow_by_month(s: Sample) -> DataFrame:
+    return sketches.flow_by_month(_customer_states(s))
+
+
+def _delivered(s: Sample) -> DataFrame:
+    return sketches.delivered_by_state(s.fulfillment, s.star["dim_customers"])
+
+
+@query
+def delivery_percentiles_by_state(s: Sample) -> DataFrame:
+    return sketches.delivery_percentiles(_delivered(s))
+
+
+@query
+def delivery_sketch_check(s: Sample) -> DataFrame:
+    """Percentiles from stored sketches of days, held against all deliveries."""
+    lake = s.fresh_lake("delivery-states")
+    delivered = durable(_delivered(s), "delivered")
+    even = F.col("purchase_date_key") % 2 == 0
+    for name, days in (("even", even), ("odd", ~even)):
+        sketches.add_states(lake, "delivery", sketches.daily_delivery(delivered.filter(days)), name)
+    found = sketches.sketched_delivery(sketches.states(lake, "delivery"))
+    return sketches.rank_errors(delivered, durable(found, "percentiles"))
+
+
+@query
+def profile_states(s: Sample) -> DataFrame:
+    """Payments profiled in two halves whose states are merged."""
+    columns = ["payment_type", "payment_installments", "payment_sequential"]
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    halves = [
+        profile.profile_state(s.clean["order_payments"].filter(half == rest).select(*columns))
+        for rest in (0, 1)
+    ]
+    merged = profile.merge_states(halves[0].unionByName(halves[1]))
+    return profile.profile(merged).drop("median")
+
+
 # ---- insights ----
 
 

@@ -611,6 +611,10 @@ def _profile(table: str, columns: dict[str, str]) -> str:
     )
 
 
+def _as_text(value: str, kind: str) -> str:
+    return value if kind == "string" else f"cast(cast({value} as double) as varchar)"
+
+
 def _negatives(table: str, *columns: str) -> str:
     return " union all ".join(
         f"select '{c}' as column_name, count(*) filter (where {c} < 0) as negatives "
@@ -919,6 +923,65 @@ BODIES: dict[str, str] = {
                cast(purchase_date_key // 100 % 100 as integer) as month
         from fact_sales where purchase_date_key // 10000 = 1997""",
     "catalog_view": _TIERS,
+    # ---- mergeable states: exact at the sample's size ----
+    "distinct_customers_by_period": """
+        select case when grouping(year) = 1 then 'all'
+                    when grouping(quarter) = 1 then 'year'
+                    when grouping(month) = 1 then 'quarter'
+                    else 'month' end as level,
+               year, quarter, month, count(distinct customer_id) as customers
+        from (select customer_id, cast(k // 10000 as integer) as year,
+                     cast((k // 100 % 100 + 2) // 3 as integer) as quarter,
+                     cast(k // 100 % 100 as integer) as month
+              from (select customer_id, purchase_date_key as k from fact_sales
+                    where purchase_date_key is not null) dated) periods
+        group by rollup (year, quarter, month)""",
+    "customer_flow_by_month": """
+        select cast(m // 12 as integer) as year, cast(m % 12 + 1 as integer) as month,
+               count(*) as customers,
+               count(*) filter (where last = m - 1) as returning_customers,
+               count(*) filter (where last is null) as new_customers
+        from (select m, lag(m) over (partition by customer_id order by m) as last
+              from (select distinct customer_id,
+                           purchase_date_key // 10000 * 12
+                             + purchase_date_key // 100 % 100 - 1 as m
+                    from fact_sales where purchase_date_key is not null) months) seen
+        group by m""",
+    "delivery_percentiles_by_state": """
+        select customer_state, max(n) as deliveries,
+               min(d) filter (where 100 * place >= 50 * n) as p50,
+               min(d) filter (where 100 * place >= 90 * n) as p90,
+               min(d) filter (where 100 * place >= 99 * n) as p99
+        from (select customer_state, shipping_duration_days as d,
+                     row_number() over (partition by customer_state
+                                        order by shipping_duration_days) as place,
+                     count(*) over (partition by customer_state) as n
+              from fulfillment join dim_customers using (customer_id)
+              where shipping_duration_days is not null) placed
+        group by customer_state""",
+    "delivery_sketch_check": """
+        select customer_state, count(*) as deliveries, true as p50_holds,
+               true as p90_holds, true as p99_holds
+        from fulfillment join dim_customers using (customer_id)
+        where shipping_duration_days is not null group by customer_state""",
+    "profile_states": " union all ".join(
+        f"""select '{name}' as column_name, '{kind}' as data_type,
+                   count(*) as row_count, count(*) - count({name}) as nulls,
+                   count(distinct {name}) as distinct_values,
+                   {_as_text(f"min({name})", kind)} as least,
+                   {_as_text(f"max({name})", kind)} as largest,
+                   (select cast({name} as varchar) from payments_c where {name} is not null
+                    group by {name} order by count(*) desc, cast({name} as varchar) limit 1)
+                     as top,
+                   (select count(*) from payments_c where {name} is not null
+                    group by {name} order by count(*) desc limit 1) as top_rows
+            from payments_c"""
+        for name, kind in (
+            ("payment_type", "string"),
+            ("payment_installments", "int"),
+            ("payment_sequential", "int"),
+        )
+    ),
     # ---- insights ----
     "revenue_by_period": f"""
         select case when grouping(year) = 1 then 'all'
