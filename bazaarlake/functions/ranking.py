@@ -1,14 +1,15 @@
 """Exact ranks, running totals and quantile cuts without one big window.
 
 A window without partition keys sends every row to one task. These helpers
-rank *values* instead of rows, in two levels:
+rank *values* instead of rows, in levels:
 
 1. ``histogram``: rows per distinct value (partial aggregation, so a value
    held by a third of the rows is reduced before the shuffle);
-2. distinct values are grouped into ranges of fixed width. Within a range
-   there are at most ``width`` distinct integers, so a window per range is
-   bounded however many rows there are; the totals of the ranges before it
-   come from a window over one row per range.
+2. values are grouped into ranges of ``width`` whole numbers, and those into
+   groups of ``width`` ranges. A window over the values of a range, or over the
+   ranges of a group, has at most ``width`` rows however many there are in all
+   and however sparse they lie. Of groups there are at most ``2 ** 64 / width ** 2``,
+   which the one window over all groups sees: 4 million for the default width.
 
 Values must be integers (counts, cents, days). Ties share a rank, as in
 ``rank()``, ``dense_rank()`` and a RANGE running sum.
@@ -19,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values per range: the most rows one window group can hold.
-RANGE_WIDTH = 100_000
+# Distinct values per range, and ranges per group: the most rows of a window group.
+RANGE_WIDTH = 1 << 21
 
 
 def value_ranks(
@@ -52,37 +53,39 @@ def value_ranks(
     def order(column: str):
         return F.desc(column) if descending else F.asc(column)
 
-    inside = Window.partitionBy("_range").orderBy(order(value))
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    sums = ["_rows", "_values", *(["_total"] if total else [])]
+
+    def before(window) -> list[Column]:
+        """Of each sum, what comes earlier in the window."""
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in sums]
 
     per_range = [
         F.sum("row_count").alias("_rows"),
         F.count("*").alias("_values"),
+        *([F.sum("_sum").alias("_total")] if total else []),
     ]
-    if total:
-        per_range.append(F.sum("_sum").alias("_total"))
-    earlier = Window.orderBy(order("_range")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # One row per range of `width` values.
-    offsets = (
+    ranges = (
         histogram.groupBy("_range")
         .agg(*per_range)
-        .select(
-            "_range",
-            *[
-                F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before")
-                for c in ("_rows", "_values", *(["_total"] if total else []))
-            ],
-        )
+        .withColumn("_group", F.floor(F.col("_range") / width))
+    )
+    groups = ranges.groupBy("_group").agg(*[F.sum(c).alias(c) for c in sums])
+    groups = groups.select("_group", *before(Window.orderBy(order("_group"))))
+    placed = ranges.select("_range", "_group", *before(Window.partitionBy("_group").orderBy(order("_range"))))
+    offsets = placed.alias("r").join(groups.alias("g"), "_group").select(
+        "_range", *[(F.col(f"r.{c}_before") + F.col(f"g.{c}_before")).alias(f"{c}_before") for c in sums]
     )
 
+    inside = Window.partitionBy("_range").orderBy(order(value))
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = histogram.select(
         value,
         "_range",
         "row_count",
-        F.coalesce(F.sum("row_count").over(before), F.lit(0)).alias("_rows_in"),
+        F.coalesce(
+            F.sum("row_count").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_rows_in"),
         F.row_number().over(inside).cast("bigint").alias("_place_in"),
         *([F.sum("_sum").over(upto).alias("_total_in")] if total else []),
     ).join(offsets, "_range")

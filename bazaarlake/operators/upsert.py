@@ -48,18 +48,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     """
     keys = list(keys)
     rows = as_target(target, source)
-    kept = target.join(rows.select(*keys), keys, "left_anti")
-    repeated = (
-        rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    )
-    clash = target.join(repeated, keys, "left_semi")
-    return (
-        kept.select(*target.columns)
-        .unionByName(rows)
-        .unionByName(
-            refuse(clash, DUPLICATE_SOURCE + ", ".join(keys), like=target)
-        )
-    )
+    return kept_rows(target, rows, keys).unionByName(rows)
+
+
+def kept_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows that no source row replaces; the target is read once.
+
+    Source rows are counted per key, so a target row meets one row at most.
+    """
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    several = F.raise_error(F.lit(DUPLICATE_SOURCE + ", ".join(keys))).cast("boolean")
+    unmatched = F.when(F.col("_n") > 1, several).otherwise(F.col("_n").isNull())
+    return target.join(counted, list(keys), "left").filter(unmatched).select(*target.columns)
 
 
 def upsert_partitions(

@@ -17,15 +17,17 @@ from bazaarlake.functions.dates import date_key
 from bazaarlake.functions.growth import period_growth
 from bazaarlake.functions.money import sum_money
 from bazaarlake.lazy import Plans
-from bazaarlake.operators import profile, quality
+from bazaarlake.operators import profile, quality, reconcile
+from bazaarlake.operators.asof import asof_join
 from bazaarlake.operators.cleaning import clean_all, clean_geolocation
 from bazaarlake.operators.schema import normalize_types
 from bazaarlake.operators.upsert import upsert, upsert_partitions
 from bazaarlake.plans import gold, insights, marts, reports, sketches, upkeep, views
 from bazaarlake.plans.pipeline import FACT_CLUSTERS, FACT_PARTITIONS
 from bazaarlake.session import durable, scratch_path, tune
-from bazaarlake.sources import catalog
-from bazaarlake.sources.csv_drop import full_load, incremental_load, read_csv
+from bazaarlake.sources import catalog, zorder
+from bazaarlake.sources.bucketed import BucketedTable
+from bazaarlake.sources.csv_drop import full_load, incremental_load, read_csv, validate_layer
 from bazaarlake.sources.layers import Lake, clustered, with_period
 from bazaarlake.sources.star_sample import raw_tables
 from bazaarlake.streaming.daily_mart import daily_mart, start_daily_mart
@@ -451,6 +453,103 @@ def catalog_view(s: Sample) -> DataFrame:
     return s.spark.table(f"{database}.vw_customer_tiers")
 
 
+@query
+def csv_incremental_partitioned(s: Sample) -> DataFrame:
+    """Bronze customers in a bucketed table: the increment rewrites touched buckets only."""
+    lake = s.fresh_lake("csv-buckets")
+    known, changes = _customer_changes(s)
+    _write_csv({"customers": known}, f"{lake.root}/drop", "{table}.csv")
+    _write_csv({"customers": changes}, f"{lake.root}/drop", "{table}_new.csv")
+    only = {"customers": RAW["customers"]}
+    full_load(lake, f"{lake.root}/drop", tables=only)
+    database = lake.root.rsplit("/", 1)[1].replace("-", "_")
+    table = BucketedTable(lake, RAW["customers"], database, buckets=16)
+    table.create(lake.read("bronze", "customers"))
+    incremental_load(
+        lake, f"{lake.root}/drop", tables=only, merge_with=lambda _lake, _contract, fresh: table.merge(fresh)
+    )
+    return table.read()
+
+
+@query
+def replace_table(s: Sample) -> DataFrame:
+    """A silver table replaced by rows made from itself."""
+    lake = s.fresh_lake("replace")
+    lake.write(s.clean["sellers"], "silver", "sellers")
+    north = lake.read("silver", "sellers").filter(F.col("seller_id").cast("bigint") % 2 == 0)
+    lake.replace(north, "silver", "sellers")
+    return lake.read("silver", "sellers")
+
+
+@query
+def table_existence(s: Sample) -> DataFrame:
+    """Which clean tables a lake has after two of them were written, with their rows."""
+    lake = s.fresh_lake("existence")
+    lake.write_all(s.clean, "silver", ["sellers", "orders"])
+    return validate_layer(lake, "silver", list(RAW))
+
+
+@query
+def clustered_fact_scan(s: Sample) -> DataFrame:
+    """Sales clustered on product and day: what a filter on either one opens and finds,
+    for the first twenty values of both."""
+    lake = s.fresh_lake("z-order")
+    columns = ["product_id", "purchase_date_key"]
+    laid_out = zorder.z_ordered(durable(s.star["fact_sales"], "lines"), columns, files=64)
+    lake.write(laid_out, "gold", "fact_sales")
+    stored = lake.read("gold", "fact_sales")
+    per_column = []
+    for column in columns:
+        first = stored.select(column).dropna().distinct().orderBy(column).limit(20)
+        met = zorder.files_met(stored, column, [r[0] for r in first.collect()])
+        lines = stored.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("lines"))
+        per_column.append(
+            met.join(lines, "value").select(
+                F.lit(column).alias("column_name"),
+                F.col("value").cast("string").alias("value"),
+                "lines",
+                (F.col("files") * 3 < F.col("all_files")).alias("under_a_third"),
+            )
+        )
+    return per_column[0].unionByName(per_column[1])
+
+
+@query
+def price_as_of_purchase(s: Sample) -> DataFrame:
+    """Each sales line with the highest price of its product on the last day before."""
+    lines = durable(
+        s.star["fact_sales"].select("order_id", "order_item_id", "product_id", "purchase_date_key", "price"),
+        "lines",
+    )
+    days = lines.withColumn(
+        "day", F.datediff(F.to_date(F.col("purchase_date_key").cast("string"), "yyyyMMdd"), F.lit("1990-01-01"))
+    )
+    history = days.groupBy("product_id", F.col("day").alias("listed_day")).agg(
+        F.max("price").alias("listed_price")
+    )
+    return asof_join(
+        days, history, ["product_id"], "day", "listed_day", ["listed_price", "listed_day"], strictly=True
+    ).drop("day")
+
+
+@query
+def layer_difference(s: Sample) -> DataFrame:
+    """Orders that differ between two copies of a layer, found by checksums of buckets."""
+    lake = s.fresh_lake("reconcile")
+    number = F.col("order_id").cast("bigint")
+    old = s.clean["orders"]
+    new = old.filter(number % 101 != 3).withColumn(
+        "order_status", F.when(number % 97 == 5, "X").otherwise(F.col("order_status"))
+    )
+    more = old.filter(number % 103 == 7).withColumn("order_id", F.concat("order_id", F.lit("Z")))
+    for name, rows in (("orders", old), ("orders_copy", new.unionByName(more))):
+        bucketed = reconcile.with_bucket(rows, ["order_id"], 64)
+        lake.write(bucketed, "silver", name, partition_by=[reconcile.BUCKET])
+    return reconcile.table_difference(
+        lake.read("silver", "orders"), lake.read("silver", "orders_copy"), ["order_id"]
+    )
+
+
 # ---- marts kept up from changes ----
 
 

@@ -76,6 +76,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def replace_folder(spark: SparkSession, source: str, place: str) -> None:
+    """Put folder ``source`` where ``place`` is, by renaming."""
+    files, new = _location(spark, source)
+    _, old = _location(spark, place)
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{source} could not be moved to {place}; it is complete")
+
+
 @contextmanager
 def passing(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``durable(df)`` for the length of a ``with`` block.

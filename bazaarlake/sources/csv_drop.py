@@ -168,9 +168,13 @@ def incremental_load(
     tables: Mapping[str, Contract] = RAW,
     multi_line: Collection[str] = (),
     strict: bool = False,
+    merge_with: Callable[[Lake, Contract, DataFrame], int] = merge,
 ) -> DataFrame:
     """Upsert each table's new rows; tables without new rows are skipped.
 
+    ``merge_with`` does the upsert and returns the table's rows: into a bucketed
+    table, for example.
+
     Rejects are kept as in ``full_load``, rows without a complete key among them;
     loading a file again replaces its rejects.
     """
@@ -197,7 +201,7 @@ def incremental_load(
             new_rows = fresh.count()
             if not new_rows:
                 return "NO ROWS", 0, None, note
-            return "MERGED", new_rows, merge(lake, contract, fresh), note
+            return "MERGED", new_rows, merge_with(lake, contract, fresh), note
 
     return _run(lake.spark, tables, load_one)
 

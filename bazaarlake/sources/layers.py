@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.contracts import LAYERS
-from bazaarlake.session import path_exists
+from bazaarlake.session import path_exists, replace_folder
 
 DELTA_EXTENSION = "io.delta.sql.DeltaSparkSessionExtension"
 
@@ -73,6 +73,19 @@ class Lake:
         writer.save(self.path(layer, table))
         return seen.get["rows"]
 
+    def replace(self, df: DataFrame, layer: str, table: str) -> int:
+        """Replace a table that ``df`` may read, in one write; returns the row count.
+
+        Plain Parquet is written beside the table and then renamed; should that break
+        off, the complete new table is in ``<table>.next``. Delta needs no such help.
+        """
+        if self.table_format(layer) == "delta":
+            return self.write(df, layer, table)
+        rows = self.write(df, layer, f"{table}.next")
+        place = self.path(layer, table)
+        replace_folder(self.spark, f"{place}.next", place)
+        return rows
+
     def write_all(
         self, tables: Mapping[str, DataFrame], layer: str, names: Sequence[str] = ()
     ) -> dict[str, int]:

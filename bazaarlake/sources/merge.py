@@ -1,9 +1,10 @@
 """Upserts into stored tables.
 
 A plain Parquet table has no transaction and cannot be overwritten while it is
-read. The merged rows are therefore written to the shared folder first and
-replace the table from there; should that last write break off, the merged
-copy is still in the shared folder. A Delta table merges in its own transaction.
+read. The merged rows are therefore written beside it and take its place by a
+rename. Where a table has partitions, only those with new rows are written: Spark
+stages their files and moves them in at commit. A Delta table merges in its own
+transaction. See ``bucketed`` for tables whose merges touch single buckets.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame
 
 from bazaarlake.contracts import Contract
 from bazaarlake.operators.upsert import upsert, upsert_partitions
-from bazaarlake.session import passing
 from bazaarlake.sources.layers import Lake
 
 
@@ -27,8 +27,7 @@ def merge(
     if lake.table_format(layer) == "delta":
         return _delta_merge(lake, contract, fresh, layer)
     merged = upsert(lake.read(layer, contract.name), fresh, contract.keys)
-    with passing(merged, "merged") as rows:
-        return lake.write(rows, layer, contract.name)
+    return lake.replace(merged, layer, contract.name)
 
 
 def merge_partitions(
@@ -45,10 +44,7 @@ def merge_partitions(
     """
     target = lake.read(layer, table)
     changed = upsert_partitions(target, fresh, keys, partition_by)
-    with passing(changed, "merged") as rows:
-        return lake.write(
-            rows, layer, table, partition_by=partition_by, dynamic=True
-        )
+    return lake.write(changed, layer, table, partition_by=partition_by, dynamic=True)
 
 
 def _delta_merge(lake: Lake, contract: Contract, fresh: DataFrame, layer: str) -> int:

@@ -9,6 +9,7 @@ folder named after the batch.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,9 +65,13 @@ def start_upserts(
     contract: Contract,
     checkpoint: str,
     max_files: int | None = None,
+    merge_with: Callable[[Lake, Contract, DataFrame], int] = merge,
 ) -> StreamingQuery:
     """Upsert all files not seen before into the bronze table, then stop.
 
+    ``merge_with`` does the upsert; with a bucketed table's merge a batch rewrites only
+    the buckets it touches.
+
     ``max_files`` bounds the files of one batch. Rows without a complete key
     match nothing, so repeating a batch would add them twice; they and rows that
     do not fit the contract go to
@@ -83,7 +88,7 @@ def start_upserts(
                 "bronze",
                 f"{contract.name}_rejects/stream={stream}/batch_id={batch_id}",
             )
-            merge(lake, contract, latest_file_rows(good, contract))
+            merge_with(lake, contract, latest_file_rows(good, contract))
 
     return (
         read_drops(lake, folder, contract, max_files)

@@ -923,6 +923,41 @@ BODIES: dict[str, str] = {
                cast(purchase_date_key // 100 % 100 as integer) as month
         from fact_sales where purchase_date_key // 10000 = 1997""",
     "catalog_view": _TIERS,
+    "csv_incremental_partitioned": "select * from upserted_customers",
+    "replace_table": "select * from sellers_c where cast(seller_id as bigint) % 2 = 0",
+    "table_existence": f"""
+        select table_name, cast(null as bigint) as expected_count, row_count,
+               case when row_count is null then 'MISSING' else 'EXISTS' end as status
+        from (values {", ".join(f"('{t}')" for t in _CLEAN)}) names(table_name)
+        left join ({_counts(sellers="sellers_c", orders="orders_c")}) written
+          using (table_name)""",
+    "clustered_fact_scan": """
+        (select 'product_id' as column_name, product_id as value, count(*) as lines,
+                true as under_a_third
+         from fact_sales group by product_id order by product_id limit 20)
+        union all
+        (select 'purchase_date_key', cast(purchase_date_key as varchar), count(*), true
+         from fact_sales group by purchase_date_key order by purchase_date_key limit 20)""",
+    "price_as_of_purchase": """
+        select l.order_id, l.order_item_id, l.product_id, l.purchase_date_key, l.price,
+               h.listed_price, h.listed_day
+        from (select *, cast(date_diff('day', date '1990-01-01',
+                     strptime(cast(purchase_date_key as varchar), '%Y%m%d'))
+                   as integer) as day from fact_sales) l
+        asof left join (
+          select product_id, max(price) as listed_price,
+                 cast(date_diff('day', date '1990-01-01',
+                      strptime(cast(purchase_date_key as varchar), '%Y%m%d'))
+                   as integer) as listed_day
+          from fact_sales group by product_id, purchase_date_key) h
+        on l.product_id = h.product_id and l.day > h.listed_day""",
+    "layer_difference": """
+        select order_id, case when k % 101 = 3 then 'missing' else 'changed' end as status
+        from (select order_id, order_status, cast(order_id as bigint) as k from orders_c) o
+        where k % 101 = 3 or k % 97 = 5
+        union all
+        select order_id || 'Z', 'extra' from orders_c
+        where cast(order_id as bigint) % 103 = 7""",
     # ---- mergeable states: exact at the sample's size ----
     "distinct_customers_by_period": """
         select case when grouping(year) = 1 then 'all'
