@@ -21,8 +21,15 @@ CHUNK_ROWS = 4096
 TEXTS = ["chunk", "data", "size", "lengths"]
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``chunk ids lengths size data``; NULL text is empty, NULL ids stay NULL."""
+def chunked(
+    docs: DataFrame, id_col: str, text_col: str, task_bytes: int | None = None
+) -> DataFrame:
+    """``chunk ids lengths size data``; NULL text is empty, NULL ids stay NULL.
+
+    With ``task_bytes`` documents are first dealt by a hash of id and text to tasks of
+    about so many bytes, so that chunks are the same however the input is laid out. The
+    task is then ``chunk >> 32``.
+    """
     spark = session_for(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -60,6 +67,11 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield close(kind)
 
     slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    if task_bytes:
+        total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        deal = F.xxhash64("id", "text")
+        tasks = max(1, -(-total // task_bytes))
+        slim = slim.repartition(tasks, deal).sortWithinPartitions(deal, "id")
     schema = (
         f"chunk bigint, ids array<{id_type}>, lengths array<bigint>, size bigint, data binary"
     )

@@ -82,27 +82,61 @@ class Network:
         self.hidden = len(parameters["rec"])
 
     def _forward(self, h: np.ndarray, given: np.ndarray):
-        """States after each step, with what the gradient needs."""
+        """States after each step; (state before, z, r, candidate's recurrent part,
+        candidate, whether the document begins) of all steps for the gradient.
+
+        Lanes lie along the last axis, so that every gate is one block of memory."""
         p, n = self.p, self.hidden
-        kept = []
-        out = np.empty((len(given), *h.shape), np.float32)
-        for t, symbols in enumerate(given):
-            fresh = symbols < 0
-            h = np.where(fresh[:, None], np.float32(0), h)
-            x = p["in"][symbols]
-            x[fresh] = 0
-            g = h @ p["rec"]
-            gates = 1 / (1 + np.exp(-(x[:, : 2 * n] + g[:, : 2 * n])))
-            z, r = gates[:, :n], gates[:, n:]
-            new = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-            kept.append((h, z, r, g[:, 2 * n :], new, fresh))
-            h = new + z * (h - new)
-            out[t] = h
-        return out, kept
-
-
-    def _classes_of(self, rows: np.ndarray) -> np.ndarray:
-        logits = rows @ self.p["cw"] + self.p["cb"]
+        steps, lanes_ = given.shape
+        fresh = given < 0
+        begins = fresh.any(axis=1).tolist()
+        x = p["in"][given]
+        x[fresh] = 0
+        x = np.ascontiguousarray(x.transpose(0, 2, 1))
+        gates, new, rec = x[:, : 2 * n], x[:, 2 * n :], np.ascontiguousarray(p["rec"].T)
+        before = np.empty((steps, n, lanes_), np.float32)
+        inner, out = np.empty_like(before), np.empty_like(before)
+        g, move = np.empty((3 * n, lanes_), np.float32), np.empty((n, lanes_), np.float32)
+        for t in range(steps):
+            state, gate, fill = before[t], gates[t], new[t]
+            state[:] = h
+            if begins[t]:
+                state[:, fresh[t]] = 0
+            np.dot(rec, state, out=g)
+            gate += g[: 2 * n]
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            inner[t] = g[2 * n :]
+            np.multiply(gate[n:], inner[t], out=move)
+            fill += move
+            np.tanh(fill, out=fill)
+            np.subtract(state, fill, out=move)
+            move *= gate[:n]
+            np.add(fill, move, out=out[t])
+            h = out[t]
+        return out, (before, gates[:, :n], gates[:, n:], inner, new, fresh)
+
+    @staticmethod
+    def _exponents(logits: np.ndarray) -> np.ndarray:
+        """``logits`` less their largest in place, exponentiated; returns the sums."""
+        logits -= logits.max(axis=1, keepdims=True)
+        return np.exp(logits).sum(axis=1)
+
+    def _class_logits(self, rows: np.ndarray) -> np.ndarray:
+        logits = rows @ self.p["cw"]
+        logits += self.p["cb"]
+        return logits
+
+    def _word_logits(self, rows: np.ndarray, first: int, end: int) -> np.ndarray:
+        logits = rows @ self.p["ww"][first:end].T
+        logits += self.p["wb"][first:end]
+        return logits
+
+    @staticmethod
+    def _softmax(logits: np.ndarray) -> np.ndarray:
+        """In place."""
         logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
         logits /= logits.sum(axis=1, keepdims=True)
@@ -117,34 +151,29 @@ class Network:
             if cuts[k + 1] > cuts[k]:
                 yield int(self.words[k]), int(self.words[k + 1]), order[cuts[k] : cuts[k + 1]]
 
-    def _words_of(self, rows: np.ndarray, first: int, end: int) -> np.ndarray:
-        logits = rows @ self.p["ww"][first:end].T + self.p["wb"][first:end]
-        logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        return logits
-
     def score(self, docs: list[np.ndarray], most: int) -> np.ndarray:
         """Natural log-probability of each document's symbols."""
         total = np.zeros(len(docs))
-        h = np.zeros((min(most, max(len(docs), 1)), self.hidden), np.float32)
+        h = np.zeros((self.hidden, min(most, max(len(docs), 1))), np.float32)
         for given, target, owner in windows(docs, most, LONG) if docs else ():
-            states, _ = self._forward(h[: given.shape[1]], given)
+            states, _ = self._forward(h[:, : given.shape[1]], given)
             h = states[-1]
             mask = target >= 0
-            rows, goal = states[mask], target[mask]
-            picked = self._classes_of(rows)[np.arange(len(goal)), self.classes[goal]]
-            logs = np.log(picked.astype(np.float64))
+            rows, goal = states.transpose(0, 2, 1)[mask], target[mask]
+            logits = self._class_logits(rows)
+            sums = self._exponents(logits)
+            logs = logits[np.arange(len(goal)), self.classes[goal]] - np.log(sums.astype(np.float64))
             for first, end, at in self._by_class(goal):
-                probs = self._words_of(rows[at], first, end)
-                logs[at] += np.log(probs[np.arange(len(at)), goal[at] - first].astype(np.float64))
+                logits = self._word_logits(rows[at], first, end)
+                sums = self._exponents(logits)
+                logs[at] += logits[np.arange(len(at)), goal[at] - first] - np.log(sums.astype(np.float64))
             total += np.bincount(owner[mask], logs, len(docs))
         return total
 
     def train(self, docs: list[np.ndarray], squares: Parameters, rate: float, most: int) -> None:
         """One pass; ``squares`` are Adagrad's sums, kept by the caller."""
         p, n = self.p, self.hidden
-        h = h_all = np.zeros((min(most, max(len(docs), 1)), n), np.float32)
+        h = h_all = np.zeros((n, min(most, max(len(docs), 1))), np.float32)
 
         def step(name: str, grad: np.ndarray, rows=None) -> None:
             np.clip(grad, -5, 5, out=grad)
@@ -156,13 +185,13 @@ class Network:
                 p[name][rows] -= rate * grad / np.sqrt(squares[name][rows] + 1e-6)
 
         for given, target, _ in windows(docs, most, WINDOW) if docs else ():
-            states, kept = self._forward(h[: given.shape[1]], given)
+            states, kept = self._forward(h[:, : given.shape[1]], given)
             h = states[-1]
             mask = target >= 0
-            rows, goal = states[mask], target[mask]
+            rows, goal = states.transpose(0, 2, 1)[mask], target[mask]
             # Few lanes are left at the end: they count by their tokens, not as a whole.
-            scale = np.float32(1 / (len(h_all) * WINDOW))
-            error = self._classes_of(rows)
+            scale = np.float32(1 / (h_all.shape[1] * WINDOW))
+            error = self._softmax(self._class_logits(rows))
             error[np.arange(len(goal)), self.classes[goal]] -= 1
             error *= scale
             back = error @ p["cw"].T
@@ -170,30 +199,38 @@ class Network:
             ww, wb = np.zeros_like(p["ww"]), np.zeros_like(p["wb"])
             for first, end, at in self._by_class(goal):
                 mine = rows[at]
-                error = self._words_of(mine, first, end)
+                error = self._softmax(self._word_logits(mine, first, end))
                 error[np.arange(len(at)), goal[at] - first] -= 1
                 error *= scale
                 back[at] += error @ p["ww"][first:end]
                 ww[first:end] = error.T @ mine
                 wb[first:end] = error.sum(axis=0)
-            outer = np.zeros_like(states)
+            outer = np.zeros((*given.shape, n), np.float32)
             outer[mask] = back
+            outer = np.ascontiguousarray(outer.transpose(0, 2, 1))
+            before, z, r, g, new, fresh = kept
+            # What the gradient of a state is multiplied by, for all steps at once.
+            to_new = (1 - z) * (1 - new * new)
+            to_z = (before - new) * z * (1 - z)
+            to_r = g * r * (1 - r)
+            inner = np.empty((len(given), 3 * n, given.shape[1]), np.float32)
+            through = np.empty_like(inner)
             d = np.zeros_like(outer[0])
-            rec = np.zeros_like(p["rec"])
-            inner = np.empty((len(given), given.shape[1], 3 * n), np.float32)
             for t in range(len(given) - 1, -1, -1):
-                before, z, r, g, new, fresh = kept[t]
-                d = d + outer[t]
-                d_new = d * (1 - z) * (1 - new * new)
-                d_z = d * (before - new) * z * (1 - z)
-                d_r = d_new * g * r * (1 - r)
-                inner[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-                through = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                rec += before.T @ through
-                d = d * z + through @ p["rec"].T
-                d[fresh] = 0
+                d += outer[t]
+                here, on = inner[t], through[t]
+                d_new = here[2 * n :]
+                np.multiply(d, to_new[t], out=d_new)
+                np.multiply(d, to_z[t], out=here[:n])
+                np.multiply(d_new, to_r[t], out=here[n : 2 * n])
+                on[: 2 * n] = here[: 2 * n]
+                np.multiply(d_new, r[t], out=on[2 * n :])
+                d *= z[t]
+                d += p["rec"] @ on
+                d[:, fresh[t]] = 0
+            rec = np.matmul(before, through.transpose(0, 2, 1)).sum(axis=0)
             used = given >= 0
-            symbols, flow = given[used], inner[used]
+            symbols, flow = given[used], inner.transpose(0, 2, 1)[used]
             if len(symbols):
                 order = np.argsort(symbols, kind="stable")
                 rows_, starts = np.unique(symbols[order], return_index=True)

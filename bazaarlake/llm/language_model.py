@@ -8,14 +8,16 @@
 2. The most frequent words become symbols of the network, in classes of like
    total frequency. Any other word is in one of a fixed number of open classes by
    its ending; within one, its probability is its smoothed share of the class.
-3. The network is trained over all training documents in rounds: tasks train on
-   their chunks from the same weights, and the weights are averaged, weighted by
-   tokens, range by range of the parameters.
+3. The network is trained over all training documents in rounds: groups of chunks
+   train from the same weights, and the weights are averaged, weighted by tokens.
+   Chunks and groups follow from the documents alone, so scores do not depend on how
+   the input is partitioned.
 4. Each chunk is scored with its counts and the network.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -38,15 +40,16 @@ ADD = 0.1  # added to every count
 class Settings:
     """``head`` most frequent words get symbols; others fall in ``open_classes``."""
 
-    head: int = 1000
-    head_classes: int = 16
-    open_classes: int = 32
+    head: int = 2000
+    head_classes: int = 40
+    open_classes: int = 48
     hidden: int = 16
     rounds: int = 3
     rate: float = 0.05
     lanes: int = 128  # documents trained on side by side
     score_lanes: int = 384
     range_words: int = 2_000_000
+    task_bytes: int = 32 << 20  # texts that are trained on one after the other
 
 
 def held_out(name) -> bool:
@@ -258,30 +261,34 @@ def _train(chunks: DataFrame, vocabulary: Vocabulary, s: Settings) -> gru.Parame
     n_symbols = vocabulary.end + 1 + s.open_classes
     weights = gru.start(n_symbols, s.hidden, vocabulary.class_bias, vocabulary.word_bias)
     squares = {k: np.full_like(v, 1e-5) for k, v in weights.items()}
+    groups = max(1, math.isqrt(chunks.select(F.shiftright("chunk", 32)).distinct().count()))
 
     def one(round_: int, weights, squares):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(group: pa.Table) -> pa.Table:
             mine = {k: v.copy() for k, v in weights.items()}
             sums = {k: v.copy() for k, v in squares.items()}
             network = gru.Network(mine, vocabulary.classes, vocabulary.words)
             symbols, seen = Symbols(vocabulary), 0
-            for batch in batches:
-                for _, ids, texts in _rows(batch):
-                    learn = [t for t, i in zip(texts, ids) if not held_out(i)]
-                    docs = _sequences(learn, symbols, vocabulary.end)
-                    if docs:
-                        network.train(docs, sums, s.rate, s.lanes)
-                        seen += sum(map(len, docs))
-            if seen:
-                names = [f"{kind}{k}" for kind in "ws" for k in mine]
-                data = [
-                    (v.astype(np.float64) * seen).astype("<f4").tobytes()
-                    for v in (*mine.values(), *sums.values())
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array([seen] * len(names)), pa.array(data, pa.binary())],
-                    names=["name", "tokens", "data"],
-                )
+            task = group.column("task")[0].as_py()
+            for _, ids, texts in _rows(group.sort_by("chunk")):
+                learn = [t for t, i in zip(texts, ids) if not held_out(i)]
+                docs = _sequences(learn, symbols, vocabulary.end)
+                if docs:
+                    network.train(docs, sums, s.rate, s.lanes)
+                    seen += sum(map(len, docs))
+            names = [f"{kind}{k}" for kind in "ws" for k in mine] if seen else []
+            data = [
+                (v.astype(np.float64) * seen).astype("<f4").tobytes()
+                for v in (*mine.values(), *sums.values())
+            ]
+            return pa.table(
+                {
+                    "g": pa.array([task % groups] * len(names), pa.int64()),
+                    "name": pa.array(names, pa.string()),
+                    "tokens": pa.array([seen] * len(names), pa.int64()),
+                    "data": pa.array(data[: len(names)], pa.binary()),
+                }
+            )
 
         schema = "name string, tokens bigint, data binary"
 
@@ -299,10 +306,10 @@ def _train(chunks: DataFrame, vocabulary: Vocabulary, s: Settings) -> gru.Parame
                 }
             )
 
-        part = chunks.filter(F.pmod(F.xxhash64("chunk"), F.lit(s.rounds)) == round_)
-        local = part.select("ids", *TEXTS).mapInArrow(run, schema)
-        # Partial sums first: as many tasks as the square root, then one a parameter.
-        some = local.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(8)))
+        part = chunks.filter(F.pmod(F.shiftright("chunk", 32) + F.col("chunk"), F.lit(s.rounds)) == round_)
+        tasks = part.select("ids", *TEXTS, F.shiftright("chunk", 32).alias("task")).groupBy("task")
+        # Partial sums first: as many groups as the square root of the tasks, of like size.
+        some = tasks.applyInArrow(run, f"g bigint, {schema}")
 
         def partial(group: pa.Table) -> pa.Table:
             return add(group.select(["name", "tokens", "data"]))
@@ -336,7 +343,7 @@ def scores(
     """
     s = settings
     id_type = docs.schema[id_col].dataType.simpleString()
-    chunks = chunked(docs, id_col, text_col)
+    chunks = chunked(docs, id_col, text_col, s.task_bytes)
     size = chunks.agg(F.sum("size")).first()[0] or 0
     ranges = min(max(8, -(-size // (6 * s.range_words))), 1 << 20)
     sent = chunks.select("ids", *TEXTS).mapInArrow(_send(ranges), _SENT)

@@ -194,9 +194,10 @@ def scan(
     """``id place offset finding`` with the features, ``probability`` and ``kept``.
 
     ``labelled`` has FEATURES and ``label`` (0 or 1), such as reviewed findings of
-    an earlier scan; without it weak labels of this scan are used. The forest is
-    fitted on at most ``most_labelled`` of them, chosen by a hash of the finding;
-    every candidate is scored. Should the labels be all alike, that is the verdict
+    an earlier scan; without it weak labels of this scan are used. Equal ones count
+    once. The forest is fitted on at most ``most_labelled`` of them, half of either
+    label where there are enough, chosen by a hash of the features; every candidate is
+    scored. Should the labels be all alike, that is the verdict
     on every candidate; without any, all are kept.
 
     NULL text has no candidates; a NULL id is kept; repeated rows and findings are
@@ -209,13 +210,13 @@ def scan(
         "candidates",
     )
     known = weak_labels(found) if labelled is None else labelled
-    key = [F.xxhash64(*FEATURES)]
-    sample = written(
-        known.select(*FEATURES, F.col("label").cast("double").alias("label"))
-        .orderBy(*key, "label")
-        .limit(most_labelled),
-        "labelled",
-    )
+    # A finding repeated any number of times is one row, so it cannot fill the sample.
+    once = known.select(*FEATURES, F.col("label").cast("double").alias("label")).distinct()
+    each = [
+        once.filter(F.col("label") == kind).orderBy(F.xxhash64(*FEATURES)).limit(most)
+        for kind, most in ((0.0, most_labelled // 2), (1.0, most_labelled - most_labelled // 2))
+    ]
+    sample = written(each[0].unionByName(each[1]), "labelled")
     kinds = [r["label"] for r in sample.select("label").distinct().orderBy("label").collect()]
     columns = ["id", "place", "offset", "finding", *FEATURES]
     if len(kinds) < 2:

@@ -252,8 +252,10 @@ def read(
     places = index.select(
         "file", "offset", "length", F.floor(F.col("offset") / slice_bytes).alias("slice")
     )
+    # Index rows are small, what they stand for is not: tasks by the archives' bytes.
+    size = index.agg(F.sum("length")).first()[0] or 0
     return (
-        places.repartition("file", "slice")
+        places.repartition(max(1, -(-size // slice_bytes)), "file", "slice")
         .sortWithinPartitions("file", "offset")
         .select("file", "offset", "length")
         .mapInArrow(run, schema)
