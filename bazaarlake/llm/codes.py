@@ -18,6 +18,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +141,18 @@ class Shard:
         return ids
 
 
+def _portions(texts: list[str], most: int = 6 << 20) -> Iterator[list[str]]:
+    """``texts`` in runs of at most ``most`` characters, or one text."""
+    first, size = 0, 0
+    for at, text in enumerate(texts):
+        if at > first and size + len(text) > most:
+            yield texts[first:at]
+            first, size = at, 0
+        size += len(text)
+    if texts:
+        yield texts[first:]
+
+
 MANIFEST = "part int, seq int, path string, docs bigint, tokens bigint"
 
 
@@ -190,7 +203,8 @@ def write(
         for batch in batches:
             ids = batch.column("id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for name, codes in zip(ids, encoder.encode(texts), strict=True):
+            coded = chain.from_iterable(map(encoder.encode, _portions(texts)))
+            for name, codes in zip(ids, coded, strict=True):
                 names.append(name)
                 sizes.append(len(codes) // 4 + 1)
                 parts += [codes, end]

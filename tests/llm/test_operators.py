@@ -614,3 +614,12 @@ print("all of them")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert "all of them" in done.stdout, done.stderr[-3000:]
+
+
+def test_portions_keep_every_text_in_order():
+    texts = ["", "a" * 5, "bb", "c" * 20, "", "d"]
+    for most in (1, 7, 100):
+        got = list(codes._portions(texts, most))
+        assert [t for part in got for t in part] == texts
+        assert all(len(part) == 1 or sum(map(len, part)) <= most for part in got)
+    assert list(codes._portions([])) == []
