@@ -138,6 +138,16 @@ def test_z_order_serves_a_filter_on_either_column(lake, spark):
     assert stored.exceptAll(df).count() == 0 and stored.count() == 20_000
 
 
+def test_gold_facts_on_a_curve(lake, spark):
+    from bazaarlake.operators.cleaning import clean_all
+    from bazaarlake.plans.pipeline import build_gold
+    from bazaarlake.sources.star_sample import raw_tables
+
+    lake.write_all(clean_all(raw_tables(spark, "/root/testdata/sf0.001")), "silver")
+    rows = build_gold(lake, ["fact_sales", "fact_order_fulfillment"], z_order=True)
+    assert rows == {name: lake.read("gold", name).count() for name in rows} and min(rows.values()) > 1000
+
+
 def test_bucket_numbers_and_bits(table):
     cuts = [2, 5, 5 + 1, 9]
     df = table("v int", *[(i,) for i in range(12)], (None,))
