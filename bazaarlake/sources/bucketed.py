@@ -50,7 +50,7 @@ class BucketedTable:
 
     def create(self, rows: DataFrame) -> None:
         """Write ``rows`` as the table, one shuffle by key."""
-        create_database(self.lake.spark, self.database)
+        create_database(self.lake.spark, self.database, f"{self.lake.root}/{self.database}")
         laid_out = self._numbered(rows.select(*self.contract.columns))
         (
             laid_out.repartition(self.buckets, *self._keys)
