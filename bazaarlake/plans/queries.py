@@ -28,6 +28,7 @@ from bazaarlake.session import durable, scratch_path, tune
 from bazaarlake.sources import catalog, zorder
 from bazaarlake.sources.bucketed import BucketedTable
 from bazaarlake.sources.csv_drop import full_load, incremental_load, read_csv, validate_layer
+from bazaarlake.sources.csv_records import read_records
 from bazaarlake.sources.layers import Lake, clustered, with_period
 from bazaarlake.sources.star_sample import raw_tables
 from bazaarlake.streaming.daily_mart import daily_mart, start_daily_mart
@@ -400,6 +401,17 @@ def csv_scan(s: Sample) -> DataFrame:
     return read_csv(s.spark, folder, RAW["order_reviews"])
 
 
+@query
+def csv_records_scan(s: Sample) -> DataFrame:
+    """The same kind of file as ``csv_scan``'s, cut into blocks that many tasks read."""
+    folder = scratch_path(s.spark, "csv-records")
+    odd = F.concat(F.lit('said "yes",\nthen '), F.col("review_comment_message"))
+    written = s.clean["order_reviews"].withColumn("review_comment_message", odd)
+    written.write.csv(folder, header=True, escape='"')
+    with read_records(s.spark, folder, RAW["order_reviews"]) as rows:
+        return durable(rows, "records")
+
+
 @query
 def csv_incremental_load(s: Sample) -> DataFrame:
     """Bronze customers after a full load and an increment; others skipped."""

@@ -915,6 +915,10 @@ BODIES: dict[str, str] = {
         select * replace ('said "yes",' || chr(10) || 'then '
                           || review_comment_message as review_comment_message)
         from reviews_c""",
+    "csv_records_scan": """
+        select * replace ('said "yes",' || chr(10) || 'then '
+                          || review_comment_message as review_comment_message)
+        from reviews_c""",
     "csv_incremental_load": "select * from upserted_customers",
     "stream_upsert": "select * from upserted_customers",
     "stream_daily_mart": "select * from sales_mart",

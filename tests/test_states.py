@@ -16,6 +16,8 @@ from bazaarlake.operators.upsert import DUPLICATE_SOURCE
 from bazaarlake.plans import sketches
 from bazaarlake.sources import zorder
 from bazaarlake.sources.bucketed import BucketedTable
+from bazaarlake.sources.csv_drop import read_csv
+from bazaarlake.sources.csv_records import read_records
 from bazaarlake.sources.merge import merge
 from bazaarlake.streaming.drops import start_upserts
 
@@ -302,3 +304,41 @@ def test_a_stream_into_buckets(bucketed, lake, table, rows):
     ).awaitTermination()
     assert bucketed.read().filter("customer_city = 'new'").count() == 1
     assert bucketed.read().count() == 201
+
+
+# ---- records over lines, read by many tasks ----
+
+REVIEWS = RAW["order_reviews"]
+
+
+def review(i, text):
+    return (f"r{i}", str(i), i % 5 + 1, 'a "title"', text, None, None)
+
+
+@pytest.mark.parametrize("block", ["300", "1m"])
+def test_records_over_lines_and_blocks(lake, spark, rows, settings, block):
+    rng = random.Random(5)
+    bits = ["word", "\n", ",", '"', "\n\n", "é", 'x"y"z', " "]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 30))) + "." for _ in range(200)]
+    texts[50] = "line\n" * 300 + "end"  # longer than several blocks
+    made = spark.createDataFrame([review(i, t) for i, t in enumerate(texts)], REVIEWS.schema)
+    for part in (0, 1):
+        made.filter(F.col("order_id").cast("int") % 2 == part).coalesce(1).write.mode("append").csv(
+            f"{lake.root}/csv", header=True, escape='"'
+        )
+    settings(files__maxPartitionBytes=block, files__openCostInBytes="1")
+    with read_records(spark, f"{lake.root}/csv", REVIEWS) as got:
+        assert got.count() == 200
+        assert rows(got) == rows(read_csv(spark, f"{lake.root}/csv", REVIEWS, multi_line=True))
+
+
+def test_records_that_do_not_fit_and_a_wrong_header(lake, spark):
+    os.makedirs(f"{lake.root}/csv")
+    with open(f"{lake.root}/csv/a.csv", "w") as out:
+        out.write(",".join(REVIEWS.columns) + '\nr1,1,high,"t\n1",m,,\nr2,2,5,t,m,,\n')
+    with read_records(spark, f"{lake.root}/csv", REVIEWS, corrupt=True) as got:
+        found = {r.review_id: r for r in got.collect()}
+    assert found["r1"].review_score is None and found["r1"]._corrupt_record.startswith("r1,1,high")
+    assert found["r2"].review_score == 5 and found["r2"]._corrupt_record is None
+    with read_records(spark, f"{lake.root}/csv", RAW["sellers"]) as got, pytest.raises(Exception, match="header"):
+        got.collect()
