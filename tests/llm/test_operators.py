@@ -466,6 +466,9 @@ def test_near_duplicates_stage_by_brute_force(spark, docs, empty, rows):
     assert sum(found[i] == found[j] for i, j, _ in pairs) >= 0.99 * len(pairs)
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, planted, SAMPLE).collect()}
     assert kept == set(found.values())
+    # Families above the bound are compared in blocks, with the same result.
+    bounded = similar.similar_groups(planted, similar.Settings(most=4000)).collect()
+    assert {r["id"]: r["component"] for r in bounded} == found
     assert similar.keep_one(empty).count() == 0
     same_set = collections.defaultdict(list)
     for r in rows:
@@ -476,6 +479,58 @@ def test_near_duplicates_stage_by_brute_force(spark, docs, empty, rows):
     assert all(len(set(kept) & set(g)) <= 1 for g in same_set.values())
 
 
+def test_one_family_in_blocks(spark):
+    """A chain of copies, each a little further from the first, and texts that only share a key with it."""
+    rng, words, texts = random.Random(3), prose(1, 100, 5000).split(), []
+    for i in range(400):
+        if i % 4:
+            words = [*words]
+            words[rng.randrange(100)] = f"c{i}"
+            texts.append(" ".join(words))
+        else:  # a half of the chain's words
+            texts.append(" ".join([*words[:50], *prose(i, 50, 90000).split()]))
+    sets = [similar.shingles(t.encode(), 5) for t in texts]
+    want = similar.linked(sets, 8000)
+    planted = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for settings in (similar.Settings(rows=2, most=10**9), similar.Settings(rows=2, most=50_000)):
+        found = {r["id"]: r["component"] for r in similar.similar_groups(planted, settings).collect()}
+        assert [found[i] for i in range(400)] == want.tolist()
+    assert len(set(want[1::4])) < 30 and len(set(want)) > 90
+
+
+def test_bucket_units_are_bounded_and_meet_once(spark):
+    rng = random.Random(5)
+    settings = similar.Settings(most=60_000)
+    rows = []
+    for fp in range(1000):
+        size = rng.choice([5, 50, 60, 75, 94, 400])
+        keys = [1, 1000 + fp % 2] + ([7, 8] if fp < 20 else [9] if fp < 40 else [])
+        # Key 9's sets are known to be alike; keys 7 and 8 hold the same sets.
+        rows.append((fp, keys, size, size + similar.EACH, 20 if 20 <= fp < 40 else fp))
+    sets = spark.createDataFrame(rows, "fp bigint, keys array<bigint>, size bigint, weight bigint, alike bigint")
+    got = similar._bucket_units(sets, settings).collect()
+    units = collections.defaultdict(list)
+    for r in got:
+        units[tuple(r["unit"])].append((r["fp"], r["side"]))
+    weight = {r[0]: r[3] for r in rows}
+    assert all(sum(weight[f] for f, _ in u) <= 4 * settings.most for u in units.values())
+    met = collections.Counter()
+    for name, members in units.items():
+        for i, (a, x) in enumerate(members):
+            for b, y in members[:i]:
+                if x == 0 or x != y:
+                    met[name[1], min(a, b), max(a, b)] += 1
+    assert set(met.values()) == {1}
+    assert {k for k, _, _ in met} == {1, 7, 1000, 1001}
+    size = {r[0]: r[2] for r in rows}
+    for key, holds in ((1, lambda f: True), (1000, lambda f: f % 2 == 0), (7, lambda f: f < 20)):
+        held = [f for f in range(1000) if holds(f)]
+        for i, b in enumerate(held):
+            for a in held[:i]:
+                if 5 * min(size[a], size[b]) >= 4 * max(size[a], size[b]):
+                    assert met[key, a, b] == 1
+
+
 # ---- 8: mixing
 
 
