@@ -22,6 +22,12 @@ gap AS (
   FROM rep
 ),
 cov AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_repeat_words FROM gap GROUP BY doc_id),
+e AS (
+  SELECT doc_id, count(*) AS n_echoes
+  FROM d, unnest(range(2, len(w) + 1)) AS u(i)
+  WHERE w[i] = w[i - 1]
+  GROUP BY doc_id
+),
 l AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
@@ -34,15 +40,17 @@ m AS (
     CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
     CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-    coalesce(n_repeat_words, 0) AS n_repeat_words
-  FROM d LEFT JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id)
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_echoes, 0) AS n_echoes
+  FROM d LEFT JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN e USING (doc_id)
 ),
 b AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     word_chars * 100 // greatest(n_words, 1) AS mean_word,
     n_symbols * 1000 // greatest(word_chars, 1) AS symbol_share,
     n_dup_lines * 1000 // greatest(n_lines, 1) AS repeat_line_share,
-    n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_word_share
+    n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_word_share,
+    n_echoes * 1000 // greatest(n_words, 1) AS echo_share
   FROM m
 )
 """
@@ -52,8 +60,9 @@ WITH {_COUNTS},
 v AS (
   SELECT lang, source, measure, v FROM (
     SELECT lang, source,
-      unnest(['mean_word', 'symbol_share', 'repeat_line_share', 'repeat_word_share']) AS measure,
-      unnest([mean_word, symbol_share, repeat_line_share, repeat_word_share]) AS v
+      unnest(['mean_word', 'symbol_share', 'repeat_line_share', 'repeat_word_share',
+        'echo_share']) AS measure,
+      unnest([mean_word, symbol_share, repeat_line_share, repeat_word_share, echo_share]) AS v
     FROM b WHERE NOT base_failed
   )
 ),
@@ -94,12 +103,13 @@ f AS (
     max(CASE WHEN measure = 'mean_word' THEN q3 + 4 * greatest(q3 - q1, 40) END) AS hi,
     max(CASE WHEN measure = 'symbol_share' THEN q3 + 4 * greatest(q3 - q1, 10) END) AS sy,
     max(CASE WHEN measure = 'repeat_line_share' THEN q3 + 4 * greatest(q3 - q1, 100) END) AS li,
-    max(CASE WHEN measure = 'repeat_word_share' THEN q3 + 4 * greatest(q3 - q1, 50) END) AS re
+    max(CASE WHEN measure = 'repeat_word_share' THEN q3 + 4 * greatest(q3 - q1, 75) END) AS re,
+    max(CASE WHEN measure = 'echo_share' THEN q3 + 20 * greatest(q3 - q1, 5) END) AS ec
   FROM q GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   coalesce(NOT base_failed AND mean_word BETWEEN lo AND hi AND symbol_share <= sy
-    AND repeat_line_share <= li AND repeat_word_share <= re, false) AS kept
+    AND repeat_line_share <= li AND repeat_word_share <= re AND echo_share <= ec, false) AS kept
 FROM b LEFT JOIN f
   ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source
 """

@@ -40,7 +40,8 @@ RULES = (
     Rule("mean_word", 4, 40, low=True),  # hundredths of a character
     Rule("symbol_share", 4, 10),  # per mille of the words' characters
     Rule("repeat_line_share", 4, 100),  # per mille of the lines
-    Rule("repeat_word_share", 4, 50),  # per mille of the words
+    Rule("repeat_word_share", 4, 75),  # per mille of the words; where few repeat, as the base
+    Rule("echo_share", 20, 5),  # words equal to the one before, per mille
 )
 _STEPS = 16  # buckets per power of two: width at most 1/16 of the value
 
@@ -112,6 +113,9 @@ def counts_of(text: Column, window: int = 8) -> Column:
             ),
             F.size(lines).cast("long").alias("n_lines"),
             _repeated_words(tokens, window).alias("n_repeat_words"),
+            F.size(F.filter(tokens, lambda w, i: w == F.get(tokens, i - 1)))
+            .cast("long")
+            .alias("n_echoes"),
         )
 
     return let(words(text), counts)
@@ -133,6 +137,7 @@ def measures(m: Column) -> dict[str, Column]:
         "symbol_share": share(m["n_symbols"], m["word_chars"], 1000),
         "repeat_line_share": share(m["n_dup_lines"], m["n_lines"], 1000),
         "repeat_word_share": share(m["n_repeat_words"], m["n_words"], 1000),
+        "echo_share": share(m["n_echoes"], m["n_words"], 1000),
     }
 
 

@@ -610,11 +610,25 @@ def test_quality_counts(docs, rows):
         c = r["counts"]
         assert (c["n_words"], c["n_repeat_words"], c["word_chars"]) == (len(w), len(covered), sum(map(len, w)))
         assert c["n_dup_lines"] == len(lines) - len(set(lines))
+        assert c["n_echoes"] == sum(a == b for a, b in zip(w, w[1:]))
         assert r["base_failed"] == (len(w) < 20 or 100 * len(covered) > 30 * len(w))
         assert not (r["kept"] and r["base_failed"])
     assert quality.keep_good(docs).columns == docs.columns
 
 
+def test_labelled_documents(spark):
+    """Words repeated in a row go however few; labelled good documents stay."""
+    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
+    labels = spark.read.parquet(f"{SAMPLE}/labels.parquet").select("doc_id", "quality")
+    got = quality.verdicts(docs, columns=["doc_id"]).filter("not base_failed").select("row.doc_id", "kept")
+    count = collections.Counter((r["quality"], r["kept"]) for r in got.join(labels, "doc_id").collect())
+    assert count[1, True] > 20 and not count[1, False] and not count[0, True]
+    good = [(i, prose(i, 80), "en", "a") for i in range(300)]
+    bad = [(900 + i, " ".join(f"b{j}{i} " * (4 + i) for j in range(12)).strip(), "en", "a") for i in range(4)]
+    planted = spark.createDataFrame(good + bad, "doc_id int, text string, lang string, source string")
+    assert {r[0] for r in quality.keep_good(planted).select("doc_id").collect()} == set(range(300))
+
+
 def test_sketches_merge_and_bound_the_error(spark):
     values = spark.range(1, 5001).select((F.col("id") % 3).alias("g"), (F.col("id") * 7).alias("m"))
     fine = quality.sketch(values, ["g"], ["m"])
