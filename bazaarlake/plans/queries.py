@@ -602,7 +602,7 @@ def _kept_up(s: Sample, label: str) -> Plans:
     before, changes = _order_changes(s)
     kept = upkeep.Upkeep(s.fresh_lake(label))
     star = gold.star_schema(before)
-    kept.build(durable(star["fact_sales"], "lines"), durable(star["fact_order_fulfillment"], "steps"))
+    kept.build(star["fact_sales"], star["fact_order_fulfillment"])
     after = kept.apply(before, changes, "changes")
     dims = {name: s.clean[name] for name in s.clean if name not in after}
     return kept.marts(gold.star_schema({**dims, **after}))

@@ -6,11 +6,14 @@ signed rows come signed contributions, small additive rows per day, per customer
 day, per product, per seller and one for delivery and reviews. Their sums are the
 states; a mart is its state, finished. A base build is the same with signs of +1.
 
-- A distinct count of orders is additive because an order comes and goes whole.
+- A distinct count of orders is additive because an order comes and goes whole. The
+  first of its lines for a day, customer and product is marked where the lines of an
+  order lie together anyway, so that no state shuffles them again.
 - A last purchase date is no sum. The customers' state therefore keeps their days:
   when the last one empties, the one before shows.
 - Untouched orders are scanned for their keys but never shuffled, as long as Spark can
-  broadcast the touched keys by their measured size.
+  broadcast the touched keys by their measured size. The rows of touched orders are
+  looked up once and written; changes are applied to them, not to whole tables.
 
 A state is stored as one partition of contributions per change set. Repeating a change
 set replaces its own partition. ``compact`` sums them into one.
@@ -18,10 +21,11 @@ set replaces its own partition. ``compact`` sums them into one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
+from contextlib import ExitStack
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from bazaarlake.contracts import POSITIVE_SCORE, RAW
@@ -44,6 +48,21 @@ AMOUNTS = {
 SALES = ["lines", "orders", "items", *AMOUNTS, *[f"{a}_n" for a in AMOUNTS]]
 DELIVERY = ["arrived", "days", "delayed", "delay", "late", "scored", "score", "positive"]
 
+# What the facts of touched orders are made of; other columns are not moved.
+NEEDED = {
+    "orders": [
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"],
+    "order_payments": ["order_id", "payment_sequential", "payment_value"],
+    "order_reviews": ["review_id", "order_id", "review_score"],
+}
+
 #: States: key columns and additive measures.
 STATES: dict[str, tuple[list[str], list[str]]] = {
     "daily": (["purchase_date_key"], SALES),
@@ -53,21 +72,54 @@ STATES: dict[str, tuple[list[str], list[str]]] = {
     "delivery": ([], DELIVERY),
 }
 
+# States of sales lines in which an order counts once for a key.
+SALES_OF = {name: keys for name, (keys, measures) in STATES.items() if measures is SALES}
+_KEYS = sorted({key for keys in SALES_OF.values() for key in keys})
+
 
 # ---- contributions of signed rows ----
 
 
-def _sales(signed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Contributions per key. An order counts once for a key and sign."""
-    per_order = signed.groupBy(*keys, "order_id", "sign").agg(
-        F.count("*").alias("lines"),
-        F.count("order_item_id").alias("items"),
-        *[F.sum(cents(F.col(c))).alias(a) for a, c in AMOUNTS.items()],
-        *[F.count(c).alias(f"{a}_n") for a, c in AMOUNTS.items()],
-    ).withColumn("orders", F.lit(1).cast("bigint"))
+def marked(signed: DataFrame) -> DataFrame:
+    """What the states need of signed sales lines, and of which lines an order counts.
+
+    For each key of SALES_OF one line of an order and sign has its ``first_`` mark.
+    """
+    slim = signed.select(
+        "order_id", "order_item_id", "seller_id", *_KEYS, *AMOUNTS.values(), "sign"
+    )
+    # Partitions of the order alone: the lines are not shuffled for each key.
+    one = Window.partitionBy("order_id")
+    by_day, by_product = one.orderBy("sign", "purchase_date_key", "customer_id"), one.orderBy("sign", "product_id")
+
+    def begins(along: WindowSpec, keys: list[str]) -> Column:
+        here = F.struct("sign", *keys)
+        return ~F.lag(here).over(along).eqNullSafe(here)
+
+    once = {
+        _first(state): begins(by_product if "product_id" in keys else by_day, keys)
+        for state, keys in SALES_OF.items()
+    }
+    return slim.withColumns(once).drop("order_id")
+
+
+def _first(state: str) -> str:
+    return f"first_{state}"
+
+
+def _sales(lines: DataFrame, state: str) -> DataFrame:
+    """Contributions per key of ``marked`` lines. An order counts once for a key and sign."""
+    one = F.lit(1)
+    values = {
+        "lines": one,
+        "orders": F.when(F.col(_first(state)), one),
+        "items": F.when(F.col("order_item_id").isNotNull(), one),
+        **{a: cents(F.col(c)) for a, c in AMOUNTS.items()},
+        **{f"{a}_n": F.when(F.col(c).isNotNull(), one) for a, c in AMOUNTS.items()},
+    }
     sign = F.col("sign")
-    return per_order.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(sign * F.col(m)), F.lit(0)).cast("bigint").alias(m) for m in SALES]
+    return lines.groupBy(*SALES_OF[state]).agg(
+        *[F.coalesce(F.sum(sign * values[m]), F.lit(0)).cast("bigint").alias(m) for m in SALES]
     )
 
 
@@ -94,12 +146,10 @@ def _delivery(signed: DataFrame) -> DataFrame:
 
 
 def contributions(sales: DataFrame, fulfillment: DataFrame) -> Plans:
-    """All states' contributions of signed sales lines and signed fulfillment rows."""
+    """All states' contributions of marked sales lines and signed fulfillment rows."""
     return Plans(
         {
-            "daily": lambda: _sales(sales, STATES["daily"][0]),
-            "customers": lambda: _sales(sales, STATES["customers"][0]),
-            "products": lambda: _sales(sales, STATES["products"][0]),
+            **{state: lambda state=state: _sales(sales, state) for state in SALES_OF},
             "sellers": lambda: sales.groupBy("seller_id").agg(
                 F.sum("sign").cast("bigint").alias("lines")
             ),
@@ -136,19 +186,27 @@ def changed(before: Mapping[str, DataFrame], changes: Mapping[str, DataFrame]) -
     return {name: after(name) if name in changes else before[name] for name in before}
 
 
-def _signed(tables: Mapping[str, DataFrame], touched: DataFrame, sign: int) -> tuple[DataFrame, DataFrame]:
-    of = {n: tables[n].join(touched, "order_id", "left_semi") for n in OF_ORDERS}
+def _of(tables: Mapping[str, DataFrame], touched: DataFrame) -> dict[str, DataFrame]:
+    """The rows of touched orders."""
+    return {n: tables[n].select(*NEEDED[n]).join(touched, "order_id", "left_semi") for n in OF_ORDERS}
+
+
+def _signed(of: Mapping[str, DataFrame], sign: int) -> tuple[DataFrame, DataFrame]:
     lines = gold.fact_sales(of["order_items"], of["orders"], of["order_payments"])
     steps = gold.fact_order_fulfillment(of["orders"], of["order_reviews"])
     return lines.withColumn("sign", F.lit(sign)), steps.withColumn("sign", F.lit(sign))
 
 
+def _both(old: Mapping[str, DataFrame], new: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    taken, added = _signed(old, -1), _signed(new, 1)
+    return taken[0].unionByName(added[0]), taken[1].unionByName(added[1])
+
+
 def signed_changes(
     before: Mapping[str, DataFrame], after: Mapping[str, DataFrame], touched: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """(sales lines, fulfillment rows) of touched orders, taken back and added."""
-    old, new = _signed(before, touched, -1), _signed(after, touched, 1)
-    return old[0].unionByName(new[0]), old[1].unionByName(new[1])
+    return _both(_of(before, touched), _of(after, touched))
 
 
 # ---- states ----
@@ -185,17 +243,29 @@ class Upkeep:
     def build(self, sales: DataFrame, fulfillment: DataFrame) -> None:
         """States of whole facts."""
         one = F.lit(1)
-        self.add(contributions(sales.withColumn("sign", one), fulfillment.withColumn("sign", one)), "base")
+        with passing(marked(sales.withColumn("sign", one)), "base-lines") as lines:
+            self.add(contributions(lines, fulfillment.withColumn("sign", one)), "base")
 
     def apply(
         self, before: Mapping[str, DataFrame], changes: Mapping[str, DataFrame], change_set: str
     ) -> dict[str, DataFrame]:
         """Carry changes of clean tables into the states; returns the tables after them."""
         after = changed(before, changes)
-        with passing(touched_orders(before, changes), "touched") as touched:
-            sales, steps = signed_changes(before, after, touched)
-            with passing(sales, "signed-sales") as lines, passing(steps, "signed-steps") as rows:
-                self.add(contributions(lines, rows), change_set)
+        with ExitStack() as held:
+            touched = held.enter_context(passing(touched_orders(before, changes), "touched"))
+            old = {
+                name: held.enter_context(passing(rows, f"touched-{name}"))
+                for name, rows in _of(before, touched).items()
+            }
+            # Every changed row is of a touched order; one without an order is of none.
+            fresh = {
+                n: changes[n].select(*NEEDED[n]).filter(F.col("order_id").isNotNull())
+                for n in OF_ORDERS
+                if n in changes
+            }
+            sales, steps = _both(old, changed(old, fresh))
+            lines = held.enter_context(passing(marked(sales), "signed-sales"))
+            self.add(contributions(lines, steps), change_set)
         return after
 
     def parts(self, state: str) -> DataFrame:
