@@ -40,6 +40,25 @@ def bucket_number(value: Column, cuts: Sequence, first: int = 0) -> Column:
     ).otherwise(bucket_number(value, cuts[middle + 1 :], first + middle + 1))
 
 
+def with_bucket_numbers(df: DataFrame, columns: Sequence[str], cuts: Sequence[Sequence], bits: int) -> DataFrame:
+    """``df`` with ``_bucket0``, ``_bucket1``, ...: ``bucket_number`` of each column, 0 for NULL.
+
+    A step of the search is a column of its own over an array of the cuts. The generated
+    code stays small enough for the JVM to compile, as a tree of all cuts does not.
+    """
+    for place, (column, cut) in enumerate(zip(columns, cuts, strict=True)):
+        name = f"_bucket{place}"
+        df = df.withColumn(name, F.lit(0))
+        if not cut:
+            continue
+        values = F.array(*map(F.lit, cut))
+        for bit in reversed(range(bits)):
+            reached = F.get(values, F.col(name) + (2**bit - 1)) <= F.col(column)
+            step = F.when(F.coalesce(reached, F.lit(False)), 2**bit).otherwise(0)
+            df = df.withColumn(name, F.col(name) + step)
+    return df
+
+
 def interleaved(numbers: Sequence[Column], bits: int) -> Column:
     """The bits of all numbers in turn, highest first."""
     key = F.lit(0).cast("bigint")
@@ -65,11 +84,9 @@ def z_ordered(
     else it follows the shuffle partitions and AQE.
     """
     cuts = bucket_cuts(df, columns, bits)
-    numbers = [
-        F.when(F.col(c).isNull(), 0).otherwise(bucket_number(F.col(c), cut))
-        for c, cut in zip(columns, cuts, strict=True)
-    ]
-    keyed = df.withColumn("_z", interleaved(numbers, bits))
+    placed = with_bucket_numbers(df, columns, cuts, bits)
+    numbers = [f"_bucket{place}" for place in range(len(columns))]
+    keyed = placed.withColumn("_z", interleaved([F.col(n) for n in numbers], bits)).drop(*numbers)
     order = [*partition_by, "_z", *columns]
     ranges = keyed.repartitionByRange(*([files] if files else []), *order)
     return ranges.sortWithinPartitions(*order).drop("_z")

@@ -159,6 +159,18 @@ def test_bucket_numbers_and_bits(table):
     assert key == 0b100110
 
 
+def test_bucket_numbers_by_steps(table):
+    cuts = [[2, 5, 6, 9], ["b", "d"]]
+    df = table("v int, t string", *[(i, "abcde"[i % 5]) for i in range(12)], (None, None))
+    found = zorder.with_bucket_numbers(df, ["v", "t"], cuts, 3)
+    for r in found.collect():
+        wanted = [0 if x is None else bisect.bisect_right(c, x) for x, c in zip((r.v, r.t), cuts)]
+        assert [r["_bucket0"], r["_bucket1"]] == wanted
+    # A cut stands in the plan a few times, not once for each way through the search.
+    many = zorder.with_bucket_numbers(df, ["v"], [list(range(100, 355))], 8)
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") <= 8
+
+
 def test_z_order_of_nulls_one_value_and_nothing(table):
     df = table("a int, b string", (None, None), (1, None), (1, "x"), (1, "x"))
     assert sorted(map(str, zorder.z_ordered(df, ["a", "b"]).collect())) == sorted(map(str, df.collect()))
