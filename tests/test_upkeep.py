@@ -177,6 +177,15 @@ def test_untouched_orders_are_not_shuffled(lake, table):
     assert semi and all("BroadcastHashJoin" in row for row in semi)
 
 
+def test_states_do_not_shuffle_the_lines_of_an_order_again(lake, table):
+    sales, steps = facts(frames(table, FIRST))
+    upkeep.marked(sales.withColumn("sign", F.lit(1))).write.parquet(f"{lake.root}/marked")
+    lines = lake.spark.read.parquet(f"{lake.root}/marked")
+    for name in ("daily", "customers", "products"):
+        parts = upkeep.contributions(lines, steps.withColumn("sign", F.lit(1)))[name]
+        assert parts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_no_rows(lake, table, dims):
     none = frames(table, {name: [] for name in DDL})
     kept = upkeep.Upkeep(lake)
@@ -229,6 +238,54 @@ def test_the_session_keeps_its_state_store(lake, spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
+class Held:
+    """State in memory that counts how often it is asked."""
+
+    def __init__(self):
+        self.one, self.many, self.calls = None, {}, 0
+
+    def get(self):
+        self.calls += 1
+        return self.one
+
+    def update(self, value):
+        self.calls, self.one = self.calls + 1, value
+
+    def exists(self):
+        self.calls += 1
+        return self.one is not None
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.many.get(key)
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.many
+
+    def updateValue(self, key, value):
+        self.calls, self.many[key] = self.calls + 1, value
+
+
+def test_a_batch_asks_the_state_of_an_order_a_few_times():
+    parts = OrderParts()
+    parts.head, parts.parts = Held(), Held()
+
+    def row(kind, part, value=None, file_time=1):
+        return {
+            "kind": kind, "part": part, "day": 20180101, "value": value, "price": value,
+            "freight": value, "file_time": file_time, "file_path": "f",
+        }
+
+    rows = [row("order", 0), *[row("line", n, 10 * n) for n in range(40)]]
+    (given,) = parts.handleInputRows(("1",), iter(rows), None)
+    assert given["lines"] == 40 and given["value"] == 7800
+    assert parts.head.calls + parts.parts.calls <= 6
+    assert list(parts.handleInputRows(("1",), iter(rows), None)) == []  # the same again
+    taken, added = parts.handleInputRows(("1",), iter([row("line", 39, 391)]), None)
+    assert taken["value"] == -7800 and added["value"] == 7801 and added["lines"] == 40
+
+
 def test_an_order_without_header_or_lines_gives_nothing():
     names = ("known", "day", "lines", "value", "value_n", "price", "price_n", "freight", "freight_n", "paid", "paid_n")
     head = dict.fromkeys(names, 0) | {"known": True, "day": 20180101}
