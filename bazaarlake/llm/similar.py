@@ -2,18 +2,20 @@
 
 1. Each text becomes the set of its hashed shingles. Equal sets are one node, so a
    group of copies of any size is one row.
-2. MinHash bands give candidates: two sets of similarity s share a band with
-   probability 1 - (1 - s ** rows) ** bands. Each band's key links its nodes to the
-   smallest one, so a common key gives one row per node, never all pairs.
-3. Two sets that share a band are linked if their exact similarity is high enough.
+2. SimHash groups of all texts, found through vantage-point trees by ``simhash``, give
+   candidates: the group of a set's first text is a key of the set. MinHash bands give
+   those that 64 bits miss: two sets of similarity s share a band with probability
+   1 - (1 - s ** rows) ** bands. Each key links its nodes to the smallest one, so a
+   common key gives one row per node, never all pairs.
+3. Two sets that share a key are linked if their exact similarity is high enough.
    Components of the unverified links are families. The sets of a small family
    meet in one group of a shuffle.
 4. A larger family is compared in groups of bounded weight: first each set with the
-   one it shares most bands with; then, for every band key whose sets are not all
-   linked by then, blocks of those sets in pairs, of sizes that can be similar.
+   one it shares most keys with; then, for every key whose sets are not all linked by
+   then, blocks of those sets in pairs, of sizes that can be similar.
 
-A 64-bit SimHash cannot give the candidates: see the README for the distances of
-such copies and for what vantage-point trees would copy at that radius.
+SimHash groups alone do not give all candidates: see the README for the distances of
+such copies and for what vantage-point trees would copy at a radius that does.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import binaries, same, session_for, written
-from bazaarlake.llm.simhash import SEED, components, smallest_stay
+from bazaarlake.llm.simhash import SEED, components, near_groups, smallest_stay
 from bazaarlake.session import passing
 
 
@@ -37,12 +39,14 @@ from bazaarlake.session import passing
 class Settings:
     """``share``: least similarity (in tenths of a thousand) of two linked texts.
 
+    ``radius``: most bits by which SimHashes of a group's neighbours differ.
     ``most``: the weight of a block of sets. A set weighs its shingles and ``EACH``,
     which bounds both the memory and the comparisons of a block.
     """
 
     shingle: int = 5
     share: int = 8000
+    radius: int = 2
     bands: int = 40
     rows: int = 8
     seed: int = 23
@@ -181,12 +185,30 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("seen"), text.alias("text"))
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
+def _trees(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
+    """``seen tree``: the smallest text of its SimHash group, for each text that has others near."""
+    texts = _hashed(docs, id_col, text_col).select("seen", "text")
+    groups = near_groups(texts, settings.shingle, settings.radius, "seen", "text")
+    near = groups.filter("id <> component").select(F.col("id").alias("seen"), F.col("component").alias("tree"))
+    near = near.unionByName(near.select(F.col("tree").alias("seen"), "tree"))
+    return near.groupBy("seen").agg(F.min("tree").alias("tree"))
+
+
+def _keyed(nodes: DataFrame) -> DataFrame:
+    return nodes.select("fp", F.explode("keys").alias("key"))
+
+
+def _shared_keys(nodes: DataFrame) -> DataFrame:
+    """``key low``: the keys of several nodes and the smallest of those."""
+    ends = _keyed(nodes).groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    return ends.filter("low < high").select("key", "low")
+
+
+def _candidates(nodes: DataFrame, shared: DataFrame) -> DataFrame:
     """Links ``a``, ``b``: each node to the smallest one of each of its keys, ``shared`` of them."""
-    keyed = nodes.select("fp", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
     return (
-        keyed.join(shared.filter("low < high"), "key")
+        _keyed(nodes)
+        .join(shared, "key")
         .filter("fp > low")
         .groupBy(F.col("fp").alias("a"), F.col("low").alias("b"))
         .agg(F.count("*").alias("shared"))
@@ -206,12 +228,17 @@ def similar_groups(
     rows; no rows give none. No group of a shuffle weighs more than two blocks of ``most``, but
     for a block of one heavier text.
     """
+    trees = written(_trees(docs, settings, id_col, text_col), "trees")
     session_for(docs)
     with passing(_nodes(docs, settings, id_col, text_col), "shingle_sets") as rows:
         one = rows.groupBy("fp").agg(
             F.min(F.struct("id", "seen")).alias("one"), F.any_value("keys").alias("keys"), F.any_value("size").alias("size")
         )
-        with passing(one.select("fp", "one.*", "keys", "size"), "nodes") as nodes:
+        one = one.select("fp", "one.*", "keys", "size").join(trees, "seen", "left")
+        # A text without others near is a group of its own. Texts without words have no key.
+        tree = F.array(F.xxhash64(F.lit("tree"), F.coalesce("tree", "seen")))
+        keys = F.when(F.size("keys") > 0, F.concat("keys", tree)).otherwise(F.col("keys"))
+        with passing(one.select("fp", "id", "seen", keys.alias("keys"), "size"), "nodes") as nodes:
             member = _members(docs, nodes, settings, id_col, text_col)
             placed = rows.select("id", "fp").join(member, "fp").select("id", "fp", "component")
             return written(placed, "groups")
@@ -299,19 +326,17 @@ def _bucket_units(sets: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _verified(
-    docs: DataFrame, nodes: DataFrame, units: DataFrame, settings: Settings, id_col: str, text_col: str
-) -> DataFrame:
-    """``fp root kind``: the sets linked to another of their unit. Texts are read again, of the units' nodes only."""
-    wanted = nodes.join(units.select("fp").distinct(), "fp").select(
-        "fp", "keys", F.col("id").alias("one"), F.col("seen").alias("mark")
-    )
+def _texts(docs: DataFrame, families: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``fp text keys`` of the sets of families: their texts, read again."""
+    wanted = families.select("fp", F.col("id").alias("one"), F.col("seen").alias("mark"))
     hashed = _hashed(docs, id_col, text_col)
-    texts = (
-        hashed.join(wanted, same(hashed["id"], wanted["one"]) & (hashed["seen"] == wanted["mark"]))
-        .groupBy("fp")
-        .agg(F.any_value("text").alias("text"), F.any_value("keys").alias("keys"))
-    )
+    texts = hashed.join(wanted, same(hashed["id"], wanted["one"]) & (hashed["seen"] == wanted["mark"]))
+    # Keys come after the texts: with them the wanted rows would be too many to broadcast sooner.
+    return texts.groupBy("fp").agg(F.any_value("text").alias("text")).join(families.select("fp", "keys"), "fp")
+
+
+def _verified(texts: DataFrame, units: DataFrame, settings: Settings) -> DataFrame:
+    """``fp root kind``: the sets linked to another of their unit."""
 
     def verify(group: pa.Table) -> pa.Table:
         group = group.sort_by("fp")
@@ -338,41 +363,47 @@ def _members(
     docs: DataFrame, nodes: DataFrame, settings: Settings, id_col: str, text_col: str
 ) -> DataFrame:
     """``fp component`` of every node."""
-    edges = written(_candidates(nodes), "edges")
+    with passing(_shared_keys(nodes), "shared_keys") as shared:
+        edges = written(_candidates(nodes, shared), "edges")
     if edges.isEmpty():
         return nodes.select("fp", F.col("id").alias("component"))
     family = components(edges).select(F.col("node").alias("fp"), F.col("root").alias("family"))
     family = family.unionByName(family.select(F.col("family").alias("fp"), "family").distinct())
-    weighed = written(
-        family.join(nodes.select("fp", (F.col("size") + EACH).alias("weight")), "fp"), "families"
-    )
-    total = weighed.groupBy("family").agg(F.sum("weight").alias("total"))
-    weighed = weighed.join(total, "family")
+    weighed = family.join(nodes.withColumn("weight", F.col("size") + EACH), "fp")
+    with passing(weighed, "families") as families:
+        with passing(_texts(docs, families, id_col, text_col), "family_texts") as texts:
+            roots = written(_roots(families, edges, texts, settings), "roots")
+    placed = nodes.select("fp", "id").join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+    named = placed.groupBy("root").agg(F.min("id").alias("component"))
+    return placed.select("fp", "root").join(named, "root").select("fp", "component")
+
+
+def _roots(families: DataFrame, edges: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """``fp root`` of the sets linked to others of their family."""
+    total = families.groupBy("family").agg(F.sum("weight").alias("total"))
+    weighed = families.select("family", "fp", "weight").join(total, "family")
     large = weighed.filter(F.col("total") > settings.most)
     small = weighed.filter(F.col("total") <= settings.most).select(
         "fp", _unit(F.lit(0), F.col("family")), F.lit(0).alias("side"), F.col("fp").alias("alike")
     )
     units = written(small.unionByName(_star_units(large, edges, settings)), "units")
-    first = _verified(docs, nodes, units, settings, id_col, text_col)
+    first = _verified(texts, units, settings)
     roots = first.filter("kind = 0").select("fp", "root")
-    if not large.isEmpty():
-        links = first.filter("kind = 1").select(F.col("fp").alias("a"), F.col("root").alias("b"))
-        known = components(links).select(F.col("node").alias("fp"), F.col("root").alias("alike"))
-        sets = (
-            large.select("fp", "weight")
-            .join(nodes.select("fp", "keys", "size"), "fp")
-            .join(known, "fp", "left")
-            .withColumn("alike", F.coalesce("alike", "fp"))
-        )
-        units = written(_bucket_units(sets, settings), "units")
-        second = _verified(docs, nodes, units, settings, id_col, text_col)
-        # A unit names one set of those known to be linked with a set.
-        links = links.unionByName(second.select(F.col("fp").alias("a"), F.col("root").alias("b")))
-        whole = components(links).select(F.col("node").alias("fp"), "root")
-        roots = roots.unionByName(whole)
-    placed = nodes.select("fp", "id").join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
-    named = placed.groupBy("root").agg(F.min("id").alias("component"))
-    return placed.select("fp", "root").join(named, "root").select("fp", "component")
+    if large.isEmpty():
+        return roots
+    links = first.filter("kind = 1").select(F.col("fp").alias("a"), F.col("root").alias("b"))
+    known = components(links).select(F.col("node").alias("fp"), F.col("root").alias("alike"))
+    sets = (
+        large.select("fp", "weight")
+        .join(families.select("fp", "keys", "size"), "fp")
+        .join(known, "fp", "left")
+        .withColumn("alike", F.coalesce("alike", "fp"))
+    )
+    units = written(_bucket_units(sets, settings), "units")
+    second = _verified(texts, units, settings)
+    # A unit names one set of those known to be linked with a set.
+    links = links.unionByName(second.select(F.col("fp").alias("a"), F.col("root").alias("b")))
+    return roots.unionByName(components(links).select(F.col("node").alias("fp"), "root"))
 
 
 def keep_one(
