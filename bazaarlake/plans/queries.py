@@ -588,11 +588,12 @@ def _order_changes(s: Sample) -> tuple[dict[str, DataFrame], dict[str, DataFrame
     }
     before, changes = {}, {}
     for name, (divisor, rest, columns) in edits.items():
-        table = s.clean[name]
+        # Cleaned and written once: both parts are read from the same files.
+        table = durable(s.clean[name], f"clean-{name}")
         edited = table.withColumns(
             {c: when(divisor, rest, value, c).cast(table.schema[c].dataType) for c, value in columns.items()}
         )
-        before[name] = durable(table.filter(number % 29 != 0), f"before-{name}")
+        before[name] = table.filter(number % 29 != 0)
         changes[name] = durable(edited.filter((number % divisor == rest) | (number % 29 == 0)), f"new-{name}")
     return before, changes
 

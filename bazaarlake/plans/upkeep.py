@@ -11,9 +11,11 @@ states; a mart is its state, finished. A base build is the same with signs of +1
   order lie together anyway, so that no state shuffles them again.
 - A last purchase date is no sum. The customers' state therefore keeps their days:
   when the last one empties, the one before shows.
-- Untouched orders are scanned for their keys but never shuffled, as long as Spark can
-  broadcast the touched keys by their measured size. The rows of touched orders are
-  looked up once and written; changes are applied to them, not to whole tables.
+- Untouched orders are scanned for their keys but not shuffled, as long as Spark can
+  broadcast the touched keys by their measured size. Where there are too many of them, a
+  filter of bounded size is broadcast, and only rows that share a touched order's bit are
+  shuffled to find the right ones. The rows of touched orders are looked up once and
+  written; changes are applied to them, not to whole tables.
 
 A state is stored as one partition of contributions per change set. Repeating a change
 set replaces its own partition. ``compact`` sums them into one.
@@ -48,6 +50,10 @@ AMOUNTS = {
 SALES = ["lines", "orders", "items", *AMOUNTS, *[f"{a}_n" for a in AMOUNTS]]
 DELIVERY = ["arrived", "days", "delayed", "delay", "late", "scored", "score", "positive"]
 
+# Words of 64 bits in the filter of touched orders: a table of about 6 MB at most, below
+# Spark's own limit for a broadcast. More orders than bits let more rows through, no fewer.
+FILTER_WORDS = 2**19
+
 # What the facts of touched orders are made of; other columns are not moved.
 NEEDED = {
     "orders": [
@@ -186,9 +192,32 @@ def changed(before: Mapping[str, DataFrame], changes: Mapping[str, DataFrame]) -
     return {name: after(name) if name in changes else before[name] for name in before}
 
 
-def _of(tables: Mapping[str, DataFrame], touched: DataFrame) -> dict[str, DataFrame]:
-    """The rows of touched orders."""
-    return {n: tables[n].select(*NEEDED[n]).join(touched, "order_id", "left_semi") for n in OF_ORDERS}
+def _bit() -> tuple[Column, Column]:
+    """(word, bit in it) of an order among FILTER_WORDS words of 64 bits."""
+    place = F.pmod(F.xxhash64("order_id"), F.lit(64 * FILTER_WORDS))
+    return F.shiftright(place, 6).cast("int"), (place % 64).cast("int")
+
+
+def touched_bits(touched: DataFrame) -> DataFrame:
+    """``word bits``: one bit set for each touched order, others may share it."""
+    word, bit = _bit()
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return touched.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
+
+
+def _of(
+    tables: Mapping[str, DataFrame], touched: DataFrame, bits: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The rows of touched orders; with ``bits``, most others go before any shuffle."""
+
+    def rows(name: str) -> DataFrame:
+        found = tables[name].select(*NEEDED[name])
+        if bits is not None:
+            word, bit = _bit()
+            found = found.join(bits, (word == bits["word"]) & (F.bit_get(bits["bits"], bit) == 1), "left_semi")
+        return found.join(touched, "order_id", "left_semi")
+
+    return {name: rows(name) for name in OF_ORDERS}
 
 
 def _signed(of: Mapping[str, DataFrame], sign: int) -> tuple[DataFrame, DataFrame]:
@@ -253,9 +282,10 @@ class Upkeep:
         after = changed(before, changes)
         with ExitStack() as held:
             touched = held.enter_context(passing(touched_orders(before, changes), "touched"))
+            bits = held.enter_context(passing(touched_bits(touched), "touched-bits"))
             old = {
                 name: held.enter_context(passing(rows, f"touched-{name}"))
-                for name, rows in _of(before, touched).items()
+                for name, rows in _of(before, touched, bits).items()
             }
             # Every changed row is of a touched order; one without an order is of none.
             fresh = {

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlake.plans import gold, marts, upkeep
+from bazaarlake.plans import gold, marts, queries, upkeep
 from bazaarlake.streaming.daily_mart import OrderParts, daily_mart, start_daily_mart
 
 ORDERS = """order_id string, customer_id string, order_status string,
@@ -23,6 +23,7 @@ REVIEWS = """review_id string, order_id string, review_score int,
     review_creation_date timestamp_ntz, review_answer_timestamp timestamp_ntz"""
 DDL = {"orders": ORDERS, "order_items": ITEMS, "order_payments": PAYMENTS, "order_reviews": REVIEWS}
 KEYS = {"orders": 1, "order_items": 2, "order_payments": 2, "order_reviews": 1}
+SAMPLE = "/root/testdata/sf0.001"
 START = datetime(2018, 1, 1)
 
 
@@ -177,6 +178,48 @@ def test_untouched_orders_are_not_shuffled(lake, table):
     assert semi and all("BroadcastHashJoin" in row for row in semi)
 
 
+def test_too_many_touched_orders_to_broadcast_are_filtered_first(lake, table, rows, settings, monkeypatch):
+    monkeypatch.setattr(upkeep, "FILTER_WORDS", 64)
+    ids = [f"{i:0>200}" for i in range(4000)]
+    many = {name: [] for name in DDL}
+    many["order_items"] = [line(i, 1, "p1", 1.0) for i in [*ids, None]]
+    before = frames(table, many)
+
+    def stored(name, df):
+        df.write.parquet(f"{lake.root}/{name}")
+        return lake.spark.read.parquet(f"{lake.root}/{name}")
+
+    touched = stored("touched", table("order_id string", *[(i,) for i in ids[::4]]))
+    bits = stored("bits", upkeep.touched_bits(touched))
+    settings(autoBroadcastJoinThreshold="3000")
+    found = upkeep._of(before, touched, bits)["order_items"]
+    assert sorted(r.order_id for r in found.collect()) == ids[::4]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    semi = [row for row in plan.splitlines() if "LeftSemi" in row]
+    # From the top: the touched ids meet a shuffle, below it the bits do not.
+    assert len(semi) == 2 and "SortMergeJoin" in semi[0] and "BroadcastHashJoin" in semi[1]
+    # Of the untouched orders those that share one of 4,096 bits pass.
+    passed = before["order_items"].join(touched, "order_id", "left_anti")
+    word, bit = upkeep._bit()
+    let_by = passed.join(bits, (word == bits["word"]) & (F.bit_get("bits", bit) == 1), "left_semi").count()
+    assert let_by < 0.3 * 3000
+
+
+def test_a_full_filter_loses_no_order(lake, table, rows, dims, monkeypatch):
+    monkeypatch.setattr(upkeep, "FILTER_WORDS", 1)
+    kept = upkeep.Upkeep(lake)
+    kept.build(*facts(frames(table, FIRST)))
+    changes = {"orders": [order(k, "c1", day(1)) for k in "123"], "order_reviews": [review("r1", "2", 1)]}
+    kept.apply(frames(table, FIRST), {k: table(DDL[k], *r) for k, r in changes.items()}, "0")
+    assert_same(kept.marts(dims), rebuilt(frames(table, upserted(FIRST, changes)), dims), rows)
+
+
+def test_changes_of_the_sample_come_from_tables_cleaned_once(spark):
+    before, _ = queries._order_changes(queries.Sample(spark, SAMPLE))
+    for name, rows in before.items():
+        assert all(f"/clean-{name}-" in path for path in rows.inputFiles())
+
+
 def test_states_do_not_shuffle_the_lines_of_an_order_again(lake, table):
     sales, steps = facts(frames(table, FIRST))
     upkeep.marked(sales.withColumn("sign", F.lit(1))).write.parquet(f"{lake.root}/marked")
