@@ -15,13 +15,14 @@ import json
 import os
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
+ROW = 20_000  # units encoded together
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -76,23 +77,30 @@ class Encoder:
         """Units follow a space. One without ids needs its surroundings."""
         if len(self.units) + len(new) > self.keep:  # what is used again moves over
             self.old_units, self.units = self.units, {}
-        units, old, missing = self.units, self.old_units, []
+        units, old = self.units, self.old_units
+        fresh = []
         for unit in new:
             if unit in old:
                 units[unit] = old[unit]
-            elif not unit or unit[0].isspace() or unit[-1].isspace():
-                units[unit] = b""
-            elif any(s in unit for s in self.special):
+            elif not unit or unit.strip() != unit:
                 units[unit] = b""
             else:
-                missing.append(unit)
-        for at in range(0, len(missing), 2000):
-            units.update(self._in_a_row(missing[at : at + 2000]))
+                fresh.append(unit)
+        for at in range(0, len(fresh), ROW):
+            units.update(self._in_a_row(fresh[at : at + ROW]))
 
-    def _in_a_row(self, some: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each unit with its ids. Units are encoded in a row, which costs the library
-        far less, and cut apart by the bytes of their tokens."""
+    def _in_a_row(self, some: list[str]) -> Iterable[tuple[str, bytes]]:
+        """Each unit with its ids, none if it holds a special token. Units are encoded in
+        a row, which costs the library far less, and cut apart by the bytes of their tokens."""
         row = " " + " ".join(some)
+        if any(s in row for s in self.special):
+            plain = [u for u in some if not any(s in u for s in self.special)]
+            ids = dict.fromkeys(some, b"")
+            if len(plain) == len(some):  # it lies across units
+                ids.update((u, self.whole(" " + u)) for u in plain)
+            elif plain:
+                ids.update(self._in_a_row(plain))
+            return ids.items()
         got = self.lib.encode_batch_fast([row], add_special_tokens=False)[0]
         ids = np.array(got.ids, np.uint32)
         token_ends = np.cumsum(self.lengths[ids])
@@ -101,7 +109,7 @@ class Encoder:
         if not np.array_equal(token_ends[np.minimum(cuts, len(ids) - 1)], unit_ends):
             return ((unit, self.whole(" " + unit)) for unit in some)
         data, ends = ids.tobytes(), (4 * cuts + 4).tolist()
-        return ((u, data[a:b]) for u, a, b in zip(some, [0, *ends], ends))
+        return zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -113,7 +121,8 @@ class Encoder:
         lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         begins = lists.offsets.to_numpy()[:-1].astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = coded.indices.to_numpy().astype(np.int64)
         units = [*map(self.units.get, distinct)]
         new = [u for u, known in zip(distinct, units) if known is None]
         if new:

@@ -112,6 +112,26 @@ def test_units_encode_as_whole_texts():
         assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == ids
 
 
+def test_new_units_take_few_calls_of_the_library():
+    encoder, lib = Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    calls, encode = [], encoder.lib.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            calls.append(len(texts))
+            return encode(texts, **how)
+
+        def __getattr__(self, name):
+            return getattr(lib, name)
+
+    encoder.lib = Counted()
+    units = [f"u{n:x}" for n in range(12_000)]
+    texts = [" ".join(["x", *units]), f"a {encoder.special[0]} b{encoder.special[0]}c d\u2003 \u2003e \x1cf"]
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert len(calls) <= 4
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_section_tokens_add_up(docs, rows, rule):
     lib = Tokenizer.from_file(tokenizer_path())
