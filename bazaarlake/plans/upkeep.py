@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from bazaarlake.contracts import POSITIVE_SCORE, RAW
 from bazaarlake.functions.money import amount, cents, mean_amount, percent, ratio
 from bazaarlake.lazy import Plans
+from bazaarlake.operators.bits import bits_of, sharing
 from bazaarlake.plans import gold, marts
 from bazaarlake.session import passing
 from bazaarlake.sources.layers import Lake
@@ -50,10 +51,6 @@ AMOUNTS = {
 SALES = ["lines", "orders", "items", *AMOUNTS, *[f"{a}_n" for a in AMOUNTS]]
 DELIVERY = ["arrived", "days", "delayed", "delay", "late", "scored", "score", "positive"]
 
-# Words of 64 bits in the filter of touched orders: a table of about 6 MB at most, below
-# Spark's own limit for a broadcast. More orders than bits let more rows through, no fewer.
-FILTER_WORDS = 2**19
-
 # What the facts of touched orders are made of; other columns are not moved.
 NEEDED = {
     "orders": [
@@ -192,19 +189,6 @@ def changed(before: Mapping[str, DataFrame], changes: Mapping[str, DataFrame]) -
     return {name: after(name) if name in changes else before[name] for name in before}
 
 
-def _bit() -> tuple[Column, Column]:
-    """(word, bit in it) of an order among FILTER_WORDS words of 64 bits."""
-    place = F.pmod(F.xxhash64("order_id"), F.lit(64 * FILTER_WORDS))
-    return F.shiftright(place, 6).cast("int"), (place % 64).cast("int")
-
-
-def touched_bits(touched: DataFrame) -> DataFrame:
-    """``word bits``: one bit set for each touched order, others may share it."""
-    word, bit = _bit()
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-    return touched.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
-
-
 def _of(
     tables: Mapping[str, DataFrame], touched: DataFrame, bits: DataFrame | None = None
 ) -> dict[str, DataFrame]:
@@ -213,8 +197,7 @@ def _of(
     def rows(name: str) -> DataFrame:
         found = tables[name].select(*NEEDED[name])
         if bits is not None:
-            word, bit = _bit()
-            found = found.join(bits, (word == bits["word"]) & (F.bit_get(bits["bits"], bit) == 1), "left_semi")
+            found = sharing(found, F.col("order_id"), bits)
         return found.join(touched, "order_id", "left_semi")
 
     return {name: rows(name) for name in OF_ORDERS}
@@ -282,7 +265,7 @@ class Upkeep:
         after = changed(before, changes)
         with ExitStack() as held:
             touched = held.enter_context(passing(touched_orders(before, changes), "touched"))
-            bits = held.enter_context(passing(touched_bits(touched), "touched-bits"))
+            bits = held.enter_context(passing(bits_of(touched, "order_id"), "touched-bits"))
             old = {
                 name: held.enter_context(passing(rows, f"touched-{name}"))
                 for name, rows in _of(before, touched, bits).items()

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarlake.operators import bits as bits_filter
 from bazaarlake.plans import gold, marts, queries, upkeep
 from bazaarlake.streaming.daily_mart import OrderParts, daily_mart, start_daily_mart
 
@@ -179,7 +180,7 @@ def test_untouched_orders_are_not_shuffled(lake, table):
 
 
 def test_too_many_touched_orders_to_broadcast_are_filtered_first(lake, table, rows, settings, monkeypatch):
-    monkeypatch.setattr(upkeep, "FILTER_WORDS", 64)
+    monkeypatch.setattr(bits_filter, "WORDS", 64)
     ids = [f"{i:0>200}" for i in range(4000)]
     many = {name: [] for name in DDL}
     many["order_items"] = [line(i, 1, "p1", 1.0) for i in [*ids, None]]
@@ -190,8 +191,8 @@ def test_too_many_touched_orders_to_broadcast_are_filtered_first(lake, table, ro
         return lake.spark.read.parquet(f"{lake.root}/{name}")
 
     touched = stored("touched", table("order_id string", *[(i,) for i in ids[::4]]))
-    bits = stored("bits", upkeep.touched_bits(touched))
-    settings(autoBroadcastJoinThreshold="3000")
+    bits = stored("bits", bits_filter.bits_of(touched, "order_id"))
+    settings(autoBroadcastJoinThreshold="300")
     found = upkeep._of(before, touched, bits)["order_items"]
     assert sorted(r.order_id for r in found.collect()) == ids[::4]
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
@@ -200,13 +201,11 @@ def test_too_many_touched_orders_to_broadcast_are_filtered_first(lake, table, ro
     assert len(semi) == 2 and "SortMergeJoin" in semi[0] and "BroadcastHashJoin" in semi[1]
     # Of the untouched orders those that share one of 4,096 bits pass.
     passed = before["order_items"].join(touched, "order_id", "left_anti")
-    word, bit = upkeep._bit()
-    let_by = passed.join(bits, (word == bits["word"]) & (F.bit_get("bits", bit) == 1), "left_semi").count()
-    assert let_by < 0.3 * 3000
+    assert bits_filter.sharing(passed, F.col("order_id"), bits).count() < 0.3 * 3000
 
 
 def test_a_full_filter_loses_no_order(lake, table, rows, dims, monkeypatch):
-    monkeypatch.setattr(upkeep, "FILTER_WORDS", 1)
+    monkeypatch.setattr(bits_filter, "WORDS", 1)
     kept = upkeep.Upkeep(lake)
     kept.build(*facts(frames(table, FIRST)))
     changes = {"orders": [order(k, "c1", day(1)) for k in "123"], "order_reviews": [review("r1", "2", 1)]}
