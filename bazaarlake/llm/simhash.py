@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import binaries, free_name, same, session_for, written
+from bazaarlake.operators.bits import bits_of, sharing
 
 SEED = 42
 _FLIPS = np.concatenate(
@@ -355,7 +356,13 @@ def smallest_stay(
         several.unionByName(spread.select(F.col("id").alias(key))).distinct(), "repeated"
     )
     on = same(F.col(f"`{id_col}`"), F.col(key))
-    kept = docs.join(winners.select(key), on, "left_semi")
+    # An id that is never another's copy stays: only rows that share a bit with one that
+    # is need to be looked up.
+    copies = groups.filter(~same(F.col("id"), F.col("component")))
+    bits = written(bits_of(copies, "id"), "copy_bits")
+    this = F.col(f"`{id_col}`").cast(groups.schema["id"].dataType)
+    asked = sharing(docs, this, bits).join(winners.select(key), on, "left_semi")
+    kept = sharing(docs, this, bits, "left_anti").unionByName(asked)
     if several.isEmpty():
         return kept
     again = marked(kept.join(several, on, "left_semi"), mark)

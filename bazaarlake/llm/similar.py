@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import binaries, same, session_for, written
 from bazaarlake.llm.simhash import SEED, components, near_groups, smallest_stay
+from bazaarlake.operators.bits import bits_of, sharing
 from bazaarlake.session import passing
 
 
@@ -326,10 +327,11 @@ def _bucket_units(sets: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _texts(docs: DataFrame, families: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _texts(docs: DataFrame, families: DataFrame, bits: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``fp text keys`` of the sets of families: their texts, read again."""
     wanted = families.select("fp", F.col("id").alias("one"), F.col("seen").alias("mark"))
     hashed = _hashed(docs, id_col, text_col)
+    hashed = sharing(hashed, F.col("seen"), bits)  # other texts meet no shuffle
     texts = hashed.join(wanted, same(hashed["id"], wanted["one"]) & (hashed["seen"] == wanted["mark"]))
     # Keys come after the texts: with them the wanted rows would be too many to broadcast sooner.
     return texts.groupBy("fp").agg(F.any_value("text").alias("text")).join(families.select("fp", "keys"), "fp")
@@ -371,8 +373,10 @@ def _members(
     family = family.unionByName(family.select(F.col("family").alias("fp"), "family").distinct())
     weighed = family.join(nodes.withColumn("weight", F.col("size") + EACH), "fp")
     with passing(weighed, "families") as families:
-        with passing(_texts(docs, families, id_col, text_col), "family_texts") as texts:
-            roots = written(_roots(families, edges, texts, settings), "roots")
+        with passing(bits_of(families, "seen"), "family_bits") as bits:
+            found = _texts(docs, families, bits, id_col, text_col)
+            with passing(found, "family_texts") as texts:
+                roots = written(_roots(families, edges, texts, settings), "roots")
     placed = nodes.select("fp", "id").join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("id").alias("component"))
     return placed.select("fp", "root").join(named, "root").select("fp", "component")

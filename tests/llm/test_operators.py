@@ -448,6 +448,21 @@ def test_vantage_tree_loses_no_link(spark):
     assert {frozenset(s) for s in sets.values()} == {frozenset(s) for s in others.values()}
 
 
+def test_texts_without_copies_meet_no_shuffle(spark, settings, tmp_path):
+    rng = random.Random(8)
+    rows = [(n, " ".join(rng.choices("abcdefghijklmnop", k=40))) for n in range(300)]
+    rows += [(1000 + n, text) for n, text in rows[:20]]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    settings(autoBroadcastJoinThreshold="300")
+    kept = similar.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == [n for n, _ in rows[:300]]
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    joins = [row for row in plan.splitlines() if "Join" in row]
+    assert sum("SortMergeJoin" in row for row in joins) == 1
+    assert sum("BroadcastHashJoin" in row and "LeftAnti" in row for row in joins) == 1
+
+
 def test_keep_one_of_each_group(docs, rows):
     got = simhash.keep_one(docs)
     assert got.columns == docs.columns
