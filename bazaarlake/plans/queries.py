@@ -588,8 +588,8 @@ def _order_changes(s: Sample) -> tuple[dict[str, DataFrame], dict[str, DataFrame
     }
     before, changes = {}, {}
     for name, (divisor, rest, columns) in edits.items():
-        # Cleaned and written once: both parts are read from the same files.
-        table = durable(s.clean[name], f"clean-{name}")
+        # Cleaned and written once, what the facts need of it: both parts are read from the same files.
+        table = durable(s.clean[name].select(*upkeep.NEEDED[name]), f"clean-{name}")
         edited = table.withColumns(
             {c: when(divisor, rest, value, c).cast(table.schema[c].dataType) for c, value in columns.items()}
         )

@@ -280,6 +280,12 @@ def test_the_session_keeps_its_state_store(lake, spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
+def test_changes_of_the_sample_move_needed_columns_only(spark):
+    before, changes = queries._order_changes(queries.Sample(spark, SAMPLE))
+    for name in upkeep.OF_ORDERS:
+        assert before[name].columns == changes[name].columns == upkeep.NEEDED[name]
+
+
 class Held:
     """State in memory that counts how often it is asked."""
 
