@@ -15,6 +15,8 @@ import numpy as np
 
 WINDOW = 16  # steps of a gradient
 LONG = 64  # steps that are scored at once
+ROWS = 2048  # states whose classes are scored at once, so that they stay in the cache
+SAFE = 60.0  # logits of at most this size are exponentiated as they are
 Parameters = dict[str, np.ndarray]
 
 
@@ -119,10 +121,19 @@ class Network:
         return out, (before, gates[:, :n], gates[:, n:], inner, new, fresh)
 
     @staticmethod
-    def _exponents(logits: np.ndarray) -> np.ndarray:
-        """``logits`` less their largest in place, exponentiated; returns the sums."""
-        logits -= logits.max(axis=1, keepdims=True)
-        return np.exp(logits).sum(axis=1)
+    def _safe(weights: np.ndarray, bias: np.ndarray) -> bool:
+        """Whether no logit can be large: states lie between -1 and 1."""
+        if not bias.size:
+            return True
+        return float(np.abs(weights).sum(axis=0).max() + np.abs(bias).max()) <= SAFE
+
+    @staticmethod
+    def _sums(logits: np.ndarray, safe: bool) -> np.ndarray:
+        """Exponentiates ``logits`` in place, less their largest unless ``safe``."""
+        if not safe:
+            logits -= logits.max(axis=1, keepdims=True)
+        np.exp(logits, out=logits)
+        return logits @ np.ones(logits.shape[1], np.float32)
 
     def _class_logits(self, rows: np.ndarray) -> np.ndarray:
         logits = rows @ self.p["cw"]
@@ -134,55 +145,63 @@ class Network:
         logits += self.p["wb"][first:end]
         return logits
 
-    @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        """In place."""
-        logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        return logits
+    def _logs(self, logits: np.ndarray, goal: np.ndarray, safe: bool) -> np.ndarray:
+        """Log-probability of each row's goal."""
+        if not safe:
+            logits -= logits.max(axis=1, keepdims=True)
+        mine = logits[np.arange(len(goal)), goal]
+        return mine - np.log(self._sums(logits, True).astype(np.float64))
 
-    def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(first word, end, places) of each class with words among the targets."""
-        kinds = self.classes[target]
+    def _ordered(self, goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """(order by class, classes in it, places where the classes with words begin, and the end)."""
+        kinds = self.classes[goal]
+        if len(self.words) < 2**15:
+            kinds = kinds.astype(np.int16)
         order = np.argsort(kinds, kind="stable")
-        cuts = np.searchsorted(kinds[order], np.arange(len(self.words)))
-        for k in range(len(self.words) - 1):
-            if cuts[k + 1] > cuts[k]:
-                yield int(self.words[k]), int(self.words[k + 1]), order[cuts[k] : cuts[k + 1]]
+        kinds = kinds[order]
+        return order, kinds, np.searchsorted(kinds, np.arange(len(self.words))).tolist()
 
     def score(self, docs: list[np.ndarray], most: int) -> np.ndarray:
         """Natural log-probability of each document's symbols."""
         total = np.zeros(len(docs))
         h = np.zeros((self.hidden, min(most, max(len(docs), 1))), np.float32)
+        p, cuts = self.p, self.words.tolist()
+        safe_class, safe_word = self._safe(p["cw"], p["cb"]), self._safe(p["ww"].T, p["wb"])
         for given, target, owner in windows(docs, most, LONG) if docs else ():
             states, _ = self._forward(h[:, : given.shape[1]], given)
             h = states[-1]
             mask = target >= 0
-            rows, goal = states.transpose(0, 2, 1)[mask], target[mask]
-            logits = self._class_logits(rows)
-            sums = self._exponents(logits)
-            logs = logits[np.arange(len(goal)), self.classes[goal]] - np.log(sums.astype(np.float64))
-            for first, end, at in self._by_class(goal):
-                logits = self._word_logits(rows[at], first, end)
-                sums = self._exponents(logits)
-                logs[at] += logits[np.arange(len(at)), goal[at] - first] - np.log(sums.astype(np.float64))
-            total += np.bincount(owner[mask], logs, len(docs))
+            order, kinds, at = self._ordered(target[mask])
+            rows, goal = states.transpose(0, 2, 1)[mask][order], target[mask][order]
+            logs = np.empty(len(goal))
+            for a in range(0, len(goal), ROWS):
+                part = slice(a, a + ROWS)
+                logs[part] = self._logs(self._class_logits(rows[part]), kinds[part], safe_class)
+            for first, end, a, b in zip(cuts, cuts[1:], at, at[1:]):
+                if b > a:
+                    logits = self._word_logits(rows[a:b], first, end)
+                    logs[a:b] += self._logs(logits, goal[a:b] - first, safe_word)
+            total += np.bincount(owner[mask][order], logs, len(docs))
         return total
 
     def train(self, docs: list[np.ndarray], squares: Parameters, rate: float, most: int) -> None:
         """One pass; ``squares`` are Adagrad's sums, kept by the caller."""
         p, n = self.p, self.hidden
         h = h_all = np.zeros((n, min(most, max(len(docs), 1))), np.float32)
+        cuts, ones = self.words.tolist(), np.ones(h.size // n * WINDOW, np.float32)
 
         def step(name: str, grad: np.ndarray, rows=None) -> None:
             np.clip(grad, -5, 5, out=grad)
-            if rows is None:
-                squares[name] += grad * grad
-                p[name] -= rate * grad / np.sqrt(squares[name] + 1e-6)
-            else:
-                squares[name][rows] += grad * grad
-                p[name][rows] -= rate * grad / np.sqrt(squares[name][rows] + 1e-6)
+            some = slice(None) if rows is None else rows
+            sums = squares[name][some]
+            sums += grad * grad
+            if rows is not None:
+                squares[name][rows] = sums
+            root = sums + np.float32(1e-6)
+            np.sqrt(root, out=root)
+            grad *= np.float32(rate)
+            grad /= root
+            p[name][some] -= grad
 
         for given, target, _ in windows(docs, most, WINDOW) if docs else ():
             states, kept = self._forward(h[:, : given.shape[1]], given)
@@ -191,20 +210,26 @@ class Network:
             rows, goal = states.transpose(0, 2, 1)[mask], target[mask]
             # Few lanes are left at the end: they count by their tokens, not as a whole.
             scale = np.float32(1 / (h_all.shape[1] * WINDOW))
-            error = self._softmax(self._class_logits(rows))
-            error[np.arange(len(goal)), self.classes[goal]] -= 1
-            error *= scale
+            order, kinds, at = self._ordered(goal)
+            rows, goal = rows[order], goal[order]
+            error = self._class_logits(rows)
+            error *= (scale / self._sums(error, self._safe(p["cw"], p["cb"])))[:, None]
+            error[np.arange(len(goal)), kinds] -= scale
             back = error @ p["cw"].T
             grads = {"cw": rows.T @ error, "cb": error.sum(axis=0)}
             ww, wb = np.zeros_like(p["ww"]), np.zeros_like(p["wb"])
-            for first, end, at in self._by_class(goal):
-                mine = rows[at]
-                error = self._softmax(self._word_logits(mine, first, end))
-                error[np.arange(len(at)), goal[at] - first] -= 1
-                error *= scale
-                back[at] += error @ p["ww"][first:end]
-                ww[first:end] = error.T @ mine
-                wb[first:end] = error.sum(axis=0)
+            safe, count = self._safe(p["ww"].T, p["wb"]), np.arange(len(goal))
+            for first, end, a, b in zip(cuts, cuts[1:], at, at[1:]):
+                if b > a:
+                    mine, error = rows[a:b], self._word_logits(rows[a:b], first, end)
+                    error *= (scale / self._sums(error, safe))[:, None]
+                    error[count[: b - a], goal[a:b] - first] -= scale
+                    back[a:b] += error @ p["ww"][first:end]
+                    np.dot(error.T, mine, out=ww[first:end])
+                    np.dot(ones[: b - a], error, out=wb[first:end])
+            unsorted = np.empty_like(back)
+            unsorted[order] = back
+            back = unsorted
             outer = np.zeros((*given.shape, n), np.float32)
             outer[mask] = back
             outer = np.ascontiguousarray(outer.transpose(0, 2, 1))

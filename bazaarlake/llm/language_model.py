@@ -19,18 +19,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import gru
-from bazaarlake.llm.chunks import TEXTS, chunked, split_texts
+from bazaarlake.llm.chunks import TEXTS, chunked
 from bazaarlake.llm.common import written
 
 ADD = 0.1  # added to every count
@@ -66,26 +66,59 @@ def _deal(words: list[bytes], ranges: int) -> np.ndarray:
     return (hashes % np.uint64(ranges)).astype(np.int64)
 
 
-def _vocabulary(texts: list[list[bytes]], names: list, ranges: int):
-    """Per range the chunk's sorted words, and their counts in training texts."""
-    counts: Counter[bytes] = Counter()
-    words: set[bytes] = set()
-    for tokens, name in zip(texts, names):
-        (words if held_out(name) else counts).update(tokens)
-    all_words = sorted(words.union(counts))
-    part = _deal(all_words, ranges)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(ranges + 1))
-    for p in np.flatnonzero(np.diff(cuts)).tolist():
-        mine = [all_words[i] for i in order[cuts[p] : cuts[p + 1]].tolist()]
-        yield p, mine, np.array([counts[w] for w in mine], "<u4")
-
-
-def _rows(table) -> Iterator[tuple[int, list, list[list[bytes]]]]:
-    """(chunk, ids, lower-cased words of each text)."""
+@dataclass
+class Words:
+    """A chunk's distinct lower-cased words; its texts' words as places among them."""
+
+    distinct: list[bytes]
+    places: np.ndarray
+    cuts: np.ndarray  # text i has the places from cuts[i] to cuts[i + 1]
+
+    def of(self, text: int) -> np.ndarray:
+        return self.places[self.cuts[text] : self.cuts[text + 1]]
+
+    def counts(self, texts: np.ndarray) -> np.ndarray:
+        """How often each word is in those texts, given as a mask."""
+        chosen = np.repeat(texts, np.diff(self.cuts))
+        return np.bincount(self.places[chosen], minlength=len(self.distinct))
+
+    def dealt(self, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Per range the places of its words, ascending by word."""
+        order = np.array(sorted(range(len(self.distinct)), key=self.distinct.__getitem__), np.int64)
+        part = _deal(self.distinct, ranges)[order]
+        by_part = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[by_part], np.arange(ranges + 1))
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            yield p, order[by_part[cuts[p] : cuts[p + 1]]]
+
+
+def _words(data: bytes, size: int, lengths: list[int]) -> Words:
+    raw = pa.Codec("zstd").decompress(data, decompressed_size=size) if size else pa.py_buffer(b"")
+    starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    texts = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(starts), raw])
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = split.values.dictionary_encode()
+    places, cuts = coded.indices.to_numpy(), split.offsets.to_numpy().astype(np.int64)
+    distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    if b"" in distinct:  # blanks at either end of a text
+        empty = distinct.index(b"")
+        kept = places != empty
+        cuts = np.concatenate([[0], np.cumsum(kept)])[cuts]
+        places = places[kept]
+        places = places - (places > empty)
+        del distinct[empty]
+    return Words(distinct, places, cuts)
+
+
+def _rows(table) -> Iterator[tuple[int, list, Words]]:
+    """(chunk, ids, words of its texts)."""
     columns = [table.column(c).to_pylist() for c in ("ids", *TEXTS)]
     for ids, chunk, data, size, lengths in zip(*columns):
-        yield chunk, ids, [t.lower().split() for t in split_texts(data, size, lengths)]
+        yield chunk, ids, _words(data, size, lengths)
+
+
+def _learned(ids: list) -> np.ndarray:
+    return np.array([not held_out(i) for i in ids], bool)
 
 
 _SENT = "chunk bigint, part int, words binary, size bigint, counts binary"
@@ -99,11 +132,12 @@ def _send(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
         for batch in batches:
-            for chunk, ids, texts in _rows(batch):
+            for chunk, ids, words in _rows(batch):
                 out: list[list] = [[], [], [], [], []]
-                for p, words, counts in _vocabulary(texts, ids, ranges):
-                    raw = b" ".join(words)
-                    row = (chunk, p, codec.compress(raw, asbytes=True), len(raw), counts.tobytes())
+                counts = words.counts(_learned(ids)).astype("<u4")
+                for p, mine in words.dealt(ranges):
+                    raw = b" ".join([words.distinct[i] for i in mine.tolist()])
+                    row = (chunk, p, codec.compress(raw, asbytes=True), len(raw), counts[mine].tobytes())
                     for column, value in zip(out, row):
                         column.append(value)
                 kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
@@ -120,36 +154,39 @@ def _answer(head: int, classes: int):
 
     def run(group: pa.Table) -> pa.Table:
         codec = pa.Codec("zstd")
-        total: Counter[bytes] = Counter()
         part = group.column("part")[0].as_py()
         chunks = group.column("chunk").to_pylist()
-        packed = list(
-            zip(
-                group.column("words").to_pylist(),
-                group.column("size").to_pylist(),
-                group.column("counts").to_pylist(),
-            )
-        )
-        for data, size, counts in packed:
-            words = codec.decompress(data, decompressed_size=size, asbytes=True).split(b" ")
-            got = np.frombuffer(counts, "<u4").tolist()
-            for word, n in zip(words, got):
-                if n:
-                    total[word] += n
+        sizes = group.column("size").to_pylist()
+        coded, counts = [], []
+        for data, size, n in zip(group.column("words"), sizes, group.column("counts").to_pylist()):
+            raw = codec.decompress(data.as_buffer(), decompressed_size=size)
+            starts = pa.py_buffer(np.array([0, size], np.int64))
+            text = pa.Array.from_buffers(pa.large_string(), 1, [None, starts, raw])
+            # Bytes from here on: only their order and equality count.
+            coded.append(pc.split_pattern(text, " ").values.view(pa.large_binary()).dictionary_encode())
+            counts.append(np.frombuffer(n, "<u4"))
+        coded = pa.chunked_array(coded).unify_dictionaries()
+        words = coded.chunk(0).dictionary
+        places = [c.indices.to_numpy() for c in coded.chunks]
+        total = np.zeros(len(words), np.int64)
+        for at, n in zip(places, counts):
+            total[at] += n  # a chunk has a word once
         out: list[list] = [[], [], [], [], [], []]
-        for chunk, (data, size, _) in zip(chunks, packed):
-            words = codec.decompress(data, decompressed_size=size, asbytes=True).split(b" ")
-            counts = np.fromiter((total[w] if w in total else 0 for w in words), "<u8", len(words))
-            row = (chunk, part, counts.tobytes(), None, None, None)
+        for chunk, at in zip(chunks, places):
+            row = (chunk, part, total[at].astype("<u8").tobytes(), None, None, None)
             for column, value in zip(out, row):
                 column.append(value)
-        types, tokens = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
-        for word, n in total.items():
-            k = _open_class(word, classes)
-            types[k] += 1
-            tokens[k] += n
-        best = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:head]
-        row = (-1, part, None, types, tokens, [{"word": w, "n": n} for w, n in best])
+        seen = np.flatnonzero(total)
+        learned = pa.table({"word": words.take(pa.array(seen)), "n": total[seen]})
+        kinds = np.fromiter(
+            (_open_class(w, classes) for w in learned.column("word").to_pylist()), np.int64, len(seen)
+        )
+        types = np.bincount(kinds, minlength=classes)
+        tokens = np.zeros(classes, np.int64)
+        np.add.at(tokens, kinds, total[seen])
+        order = [("n", "descending"), ("word", "ascending")]
+        top = learned.take(pc.select_k_unstable(learned, head, sort_keys=order)).to_pylist()
+        row = (-1, part, None, types, tokens, top)
         for column, value in zip(out, row):
             column.append(value)
         kinds = [
@@ -251,9 +288,12 @@ def _plan(answers: DataFrame, ends: int, s: Settings) -> Vocabulary:
     )
 
 
-def _sequences(texts: list[list[bytes]], symbols: Symbols, end: int) -> list[np.ndarray]:
-    get = symbols.__getitem__
-    return [np.array([*map(get, t), end], np.int32) for t in texts]
+def _sequences(words: Words, symbols: Symbols, end: int) -> list[np.ndarray]:
+    """The symbols of each text and its end."""
+    known = np.fromiter(map(symbols.__getitem__, words.distinct), np.int32, len(words.distinct))
+    flat = np.insert(known[words.places], words.cuts[1:], end)
+    cuts = (words.cuts + np.arange(len(words.cuts))).tolist()
+    return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def _train(chunks: DataFrame, vocabulary: Vocabulary, s: Settings) -> gru.Parameters:
@@ -270,9 +310,9 @@ def _train(chunks: DataFrame, vocabulary: Vocabulary, s: Settings) -> gru.Parame
             network = gru.Network(mine, vocabulary.classes, vocabulary.words)
             symbols, seen = Symbols(vocabulary), 0
             task = group.column("task")[0].as_py()
-            for _, ids, texts in _rows(group.sort_by("chunk")):
-                learn = [t for t, i in zip(texts, ids) if not held_out(i)]
-                docs = _sequences(learn, symbols, vocabulary.end)
+            for _, ids, words in _rows(group.sort_by("chunk")):
+                docs = _sequences(words, symbols, vocabulary.end)
+                docs = [docs[i] for i in np.flatnonzero(_learned(ids)).tolist()]
                 if docs:
                     network.train(docs, sums, s.rate, s.lanes)
                     seen += sum(map(len, docs))
@@ -360,26 +400,28 @@ def scores(
     weights = _train(chunks, vocabulary, s)
 
     def score(mine: pa.Table, told: pa.Table) -> pa.Table:
-        _, ids, texts = next(_rows(mine))
+        _, ids, words = next(_rows(mine))
         counts = dict(zip(told.column("part").to_pylist(), told.column("counts").to_pylist()))
-        known: dict[bytes, int] = {}
-        for p, words, _ in _vocabulary(texts, ids, ranges):
-            known.update(zip(words, np.frombuffer(counts[p], "<u8").tolist()))
+        known = np.zeros(len(words.distinct))
+        for p, places in words.dealt(ranges):
+            known[places] = np.frombuffer(counts[p], "<u8")
         symbols = Symbols(vocabulary)
         network = gru.Network(weights, vocabulary.classes, vocabulary.words)
-        sequences = _sequences(texts, symbols, vocabulary.end)
+        sequences = _sequences(words, symbols, vocabulary.end)
         total = network.score(sequences, s.score_lanes) / np.log(10)
         whole = vocabulary.tokens + ADD * (vocabulary.types + 1)
+        base = np.log10((known + ADD) / whole)
+        base_end = np.log10((vocabulary.ends + ADD) / whole)
         out: list[list] = [[], [], [], [], []]
-        get = known.__getitem__
-        for text, symbols_, model in zip(texts, sequences, total.tolist()):
-            c = np.array([*map(get, text), vocabulary.ends], np.float64)
-            kinds = symbols_[:-1].astype(np.int64) - vocabulary.end - 1
+        for i, model in enumerate(total.tolist()):
+            at = words.of(i)
+            c = known[at]
+            kinds = sequences[i][:-1].astype(np.int64) - vocabulary.end - 1
             loose = kinds >= 0
-            rest = vocabulary.open_log10(kinds[loose], c[:-1][loose]).sum()
-            out[0].append(len(c))
-            out[1].append(int((c > 0).sum()))
-            out[2].append(float(np.log10((c + ADD) / whole).sum()))
+            rest = vocabulary.open_log10(kinds[loose], c[loose]).sum()
+            out[0].append(len(at) + 1)
+            out[1].append(int((c > 0).sum()) + (vocabulary.ends > 0))
+            out[2].append(float(np.append(base[at], base_end).sum()))
             out[3].append(model + float(rest))
             out[4].append(vocabulary.tokens)
         return pa.table(
