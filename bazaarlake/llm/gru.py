@@ -184,11 +184,56 @@ class Network:
             total += np.bincount(owner[mask][order], logs, len(docs))
         return total
 
+    def _word_errors(
+        self,
+        rows: np.ndarray,
+        goal: np.ndarray,
+        kinds: np.ndarray,
+        at: list[int],
+        scale: np.float32,
+        back: np.ndarray,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of "ww" and "wb"; adds the states' to ``back``.
+
+        Rows lie in the order of their classes and end in a one. The logits of all
+        classes lie in one block of memory, so that most is done at once.
+        """
+        p, n, cuts = self.p, self.hidden, self.words.tolist()
+        weights = np.concatenate([p["ww"], p["wb"][:, None]], axis=1)
+        grad = np.zeros_like(weights)
+        width, many = np.diff(self.words), np.diff(at)
+        ends = np.concatenate([[0], np.cumsum(width * many)])
+        flat, sums = np.empty(ends[-1], np.float32), np.empty(at[-1], np.float32)
+        used = np.flatnonzero(many).tolist()
+        spans = [
+            (cuts[k], cuts[k + 1], at[k], at[k + 1], flat[x:y].reshape(-1, cuts[k + 1] - cuts[k]))
+            for k, x, y in zip(used, ends[used].tolist(), ends[1:][used].tolist())
+        ]
+        safe, ones = self._safe(p["ww"].T, p["wb"]), np.ones(max([0, *width.tolist()]), np.float32)
+        for first, end, a, b, logits in spans:
+            np.dot(rows[a:b], weights[first:end].T, out=logits)
+            if not safe:
+                logits -= logits.max(axis=1, keepdims=True)
+        np.exp(flat, out=flat)
+        for first, end, a, b, error in spans:
+            np.dot(error, ones[: end - first], out=sums[a:b])
+        sums = (scale / sums)[:, None]
+        for _, _, a, b, error in spans:
+            error *= sums[a:b]
+        kinds = kinds[: at[-1]]
+        nth = np.arange(at[-1]) - np.array(at)[kinds]
+        flat[ends[kinds] + nth * width[kinds] + goal[: at[-1]] - self.words[kinds]] -= scale
+        for first, end, a, b, error in spans:
+            back[a:b] += error @ p["ww"][first:end]
+            np.dot(error.T, rows[a:b], out=grad[first:end])
+        return grad[:, :n], grad[:, n]
+
     def train(self, docs: list[np.ndarray], squares: Parameters, rate: float, most: int) -> None:
         """One pass; ``squares`` are Adagrad's sums, kept by the caller."""
         p, n = self.p, self.hidden
         h = h_all = np.zeros((n, min(most, max(len(docs), 1))), np.float32)
-        cuts, ones = self.words.tolist(), np.ones(h.size // n * WINDOW, np.float32)
+
+        kind = np.int16 if len(p["in"]) < 2**15 else np.int32  # the former is sorted by radix
 
         def step(name: str, grad: np.ndarray, rows=None) -> None:
             np.clip(grad, -5, 5, out=grad)
@@ -211,22 +256,17 @@ class Network:
             # Few lanes are left at the end: they count by their tokens, not as a whole.
             scale = np.float32(1 / (h_all.shape[1] * WINDOW))
             order, kinds, at = self._ordered(goal)
-            rows, goal = rows[order], goal[order]
-            error = self._class_logits(rows)
+            goal = goal[order]
+            given_one = np.ones((len(goal), n + 1), np.float32)  # the last column meets the biases
+            given_one[:, :n] = rows[order]
+            weights = np.concatenate([p["cw"], p["cb"][None]])
+            error = given_one @ weights
             error *= (scale / self._sums(error, self._safe(p["cw"], p["cb"])))[:, None]
             error[np.arange(len(goal)), kinds] -= scale
             back = error @ p["cw"].T
-            grads = {"cw": rows.T @ error, "cb": error.sum(axis=0)}
-            ww, wb = np.zeros_like(p["ww"]), np.zeros_like(p["wb"])
-            safe, count = self._safe(p["ww"].T, p["wb"]), np.arange(len(goal))
-            for first, end, a, b in zip(cuts, cuts[1:], at, at[1:]):
-                if b > a:
-                    mine, error = rows[a:b], self._word_logits(rows[a:b], first, end)
-                    error *= (scale / self._sums(error, safe))[:, None]
-                    error[count[: b - a], goal[a:b] - first] -= scale
-                    back[a:b] += error @ p["ww"][first:end]
-                    np.dot(error.T, mine, out=ww[first:end])
-                    np.dot(ones[: b - a], error, out=wb[first:end])
+            grad = given_one.T @ error
+            grads = {"cw": grad[:n], "cb": grad[n]}
+            grads["ww"], grads["wb"] = self._word_errors(given_one, goal, kinds, at, scale, back)
             unsorted = np.empty_like(back)
             unsorted[order] = back
             back = unsorted
@@ -255,10 +295,12 @@ class Network:
                 d[:, fresh[t]] = 0
             rec = np.matmul(before, through.transpose(0, 2, 1)).sum(axis=0)
             used = given >= 0
-            symbols, flow = given[used], inner.transpose(0, 2, 1)[used]
+            symbols = given[used]
             if len(symbols):
-                order = np.argsort(symbols, kind="stable")
-                rows_, starts = np.unique(symbols[order], return_index=True)
-                step("in", np.add.reduceat(flow[order], starts, axis=0), rows_)
-            for name, grad in (*grads.items(), ("ww", ww), ("wb", wb), ("rec", rec)):
+                order = np.argsort(symbols.astype(kind), kind="stable")
+                symbols = symbols[order]
+                starts = np.flatnonzero(np.diff(symbols, prepend=-1))
+                flow = inner.transpose(0, 2, 1).reshape(-1, 3 * n)[np.flatnonzero(used)[order]]
+                step("in", np.add.reduceat(flow, starts, axis=0), symbols[starts])
+            for name, grad in (*grads.items(), ("rec", rec)):
                 step(name, grad)

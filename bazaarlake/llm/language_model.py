@@ -1,6 +1,7 @@
 """Language-model scores of whole documents, next to a unigram base.
 
-1. Chunks of documents send their distinct words with training counts, packed and
+1. Texts are split once: a chunk keeps its distinct words and its texts' words as places
+   among them. Chunks of documents send their distinct words with training counts, packed and
    cut into hash ranges. A range adds up the counts of its words over all chunks
    and answers each chunk with the counts of its own words, in its own order. So
    every document's words meet their corpus counts, a word in every document is one
@@ -68,7 +69,7 @@ def _deal(words: list[bytes], ranges: int) -> np.ndarray:
 
 @dataclass
 class Words:
-    """A chunk's distinct lower-cased words; its texts' words as places among them."""
+    """A chunk's distinct lower-cased words, ascending; its texts' words as places among them."""
 
     distinct: list[bytes]
     places: np.ndarray
@@ -84,12 +85,11 @@ class Words:
 
     def dealt(self, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
         """Per range the places of its words, ascending by word."""
-        order = np.array(sorted(range(len(self.distinct)), key=self.distinct.__getitem__), np.int64)
-        part = _deal(self.distinct, ranges)[order]
-        by_part = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[by_part], np.arange(ranges + 1))
+        part = _deal(self.distinct, ranges)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(ranges + 1))
         for p in np.flatnonzero(np.diff(cuts)).tolist():
-            yield p, order[by_part[cuts[p] : cuts[p + 1]]]
+            yield p, order[cuts[p] : cuts[p + 1]]
 
 
 def _words(data: bytes, size: int, lengths: list[int]) -> Words:
@@ -100,21 +100,51 @@ def _words(data: bytes, size: int, lengths: list[int]) -> Words:
     coded = split.values.dictionary_encode()
     places, cuts = coded.indices.to_numpy(), split.offsets.to_numpy().astype(np.int64)
     distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    if b"" in distinct:  # blanks at either end of a text
-        empty = distinct.index(b"")
-        kept = places != empty
+    order = np.array(sorted(range(len(distinct)), key=distinct.__getitem__), np.int64)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    distinct, places = [distinct[i] for i in order.tolist()], rank[places]
+    if distinct and not distinct[0]:  # blanks at either end of a text
+        kept = places > 0
         cuts = np.concatenate([[0], np.cumsum(kept)])[cuts]
-        places = places[kept]
-        places = places - (places > empty)
-        del distinct[empty]
+        distinct, places = distinct[1:], places[kept] - np.int32(1)
     return Words(distinct, places, cuts)
 
 
+CODED = ["chunk", "words", "size", "places", "cuts"]
+
+
+def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ids chunk words size places cuts``: the texts are split once, for all later passes."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in TEXTS]
+        for i, (chunk, data, size, lengths) in enumerate(zip(*columns)):
+            words = _words(data, size, lengths)
+            raw = b" ".join(words.distinct)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("ids").slice(i, 1),
+                    pa.array([chunk], pa.int64()),
+                    pa.array([codec.compress(raw, asbytes=True)], pa.binary()),
+                    pa.array([len(raw)], pa.int64()),
+                    pa.array([codec.compress(words.places.astype("<i4").tobytes(), asbytes=True)], pa.binary()),
+                    pa.array([words.cuts.tolist()], pa.list_(pa.int64())),
+                ],
+                names=["ids", *CODED],
+            )
+
+
 def _rows(table) -> Iterator[tuple[int, list, Words]]:
     """(chunk, ids, words of its texts)."""
-    columns = [table.column(c).to_pylist() for c in ("ids", *TEXTS)]
-    for ids, chunk, data, size, lengths in zip(*columns):
-        yield chunk, ids, _words(data, size, lengths)
+    codec = pa.Codec("zstd")
+    columns = [table.column(c).to_pylist() for c in ("ids", *CODED)]
+    for ids, chunk, data, size, packed, cuts in zip(*columns):
+        raw = codec.decompress(data, decompressed_size=size, asbytes=True) if size else b""
+        n = 4 * cuts[-1]
+        places = codec.decompress(packed, decompressed_size=n, asbytes=True) if n else b""
+        distinct = raw.split(b" ") if size else []
+        yield chunk, ids, Words(distinct, np.frombuffer(places, "<i4"), np.array(cuts, np.int64))
 
 
 def _learned(ids: list) -> np.ndarray:
@@ -347,7 +377,7 @@ def _train(chunks: DataFrame, vocabulary: Vocabulary, s: Settings) -> gru.Parame
             )
 
         part = chunks.filter(F.pmod(F.shiftright("chunk", 32) + F.col("chunk"), F.lit(s.rounds)) == round_)
-        tasks = part.select("ids", *TEXTS, F.shiftright("chunk", 32).alias("task")).groupBy("task")
+        tasks = part.select("ids", *CODED, F.shiftright("chunk", 32).alias("task")).groupBy("task")
         # Partial sums first: as many groups as the square root of the tasks, of like size.
         some = tasks.applyInArrow(run, f"g bigint, {schema}")
 
@@ -386,7 +416,14 @@ def scores(
     chunks = chunked(docs, id_col, text_col, s.task_bytes)
     size = chunks.agg(F.sum("size")).first()[0] or 0
     ranges = min(max(8, -(-size // (6 * s.range_words))), 1 << 20)
-    sent = chunks.select("ids", *TEXTS).mapInArrow(_send(ranges), _SENT)
+    coded = written(
+        chunks.select("ids", *TEXTS).mapInArrow(
+            _code,
+            f"ids array<{id_type}>, chunk bigint, words binary, size bigint, places binary, cuts array<bigint>",
+        ),
+        "coded",
+    )
+    sent = coded.mapInArrow(_send(ranges), _SENT)
     answers = written(
         sent.groupBy("part").applyInArrow(_answer(s.head, s.open_classes), _ANSWER), "counts"
     )
@@ -397,7 +434,7 @@ def scores(
         .count()
     )
     vocabulary = _plan(answers, ends, s)
-    weights = _train(chunks, vocabulary, s)
+    weights = _train(coded, vocabulary, s)
 
     def score(mine: pa.Table, told: pa.Table) -> pa.Table:
         _, ids, words = next(_rows(mine))
@@ -442,8 +479,7 @@ def scores(
     )
     told = answers.filter("chunk >= 0").select("chunk", "part", "counts")
     return (
-        chunks.select("ids", *TEXTS)
-        .groupBy("chunk")
+        coded.groupBy("chunk")
         .cogroup(told.groupBy("chunk"))
         .applyInArrow(score, schema)
     )
