@@ -1,14 +1,18 @@
 """States kept up from changes against marts that are rebuilt."""
 
 import random
+import zlib
+from collections import Counter
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarlake.operators import bits as bits_filter
 from bazaarlake.plans import gold, marts, queries, upkeep
-from bazaarlake.streaming.daily_mart import OrderParts, daily_mart, start_daily_mart
+from bazaarlake.streaming import lots
+from bazaarlake.streaming.daily_mart import HEADS, OrderLots, OrderParts, daily_mart, days_of, start_daily_mart
 
 ORDERS = """order_id string, customer_id string, order_status string,
     order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz,
@@ -334,6 +338,98 @@ def test_a_batch_asks_the_state_of_an_order_a_few_times():
     assert taken["value"] == -7800 and added["value"] == 7801 and added["lines"] == 40
 
 
+NAMES = ["order_id", "h", "kind", "part", *lots.AMOUNTS, "file_time", "file_path"]
+ARRIVING = pa.schema([*lots.ROWS][:-1]).append(pa.field("file_time", pa.int64())).append(pa.field("file_path", pa.string()))
+
+
+def of_one_lot():
+    """An empty processor of lots, and what asks its state."""
+    held, several = [Held() for _ in range(3)], OrderLots()
+    several.sizes = held[0]
+    several.heads = lots.Pages(held[1], HEADS)
+    several.parts = lots.Pages(held[2], lots.RECORDS, lots.PARTS)
+    return several, held
+
+
+def arriving(rng, orders, n):
+    """Parts in random order and files, some twice, some NULL, one order with many parts."""
+
+    def value(low, high):
+        return None if rng.random() < 0.1 else rng.randint(low, high)
+
+    rows = []
+    for _ in range(n):
+        key, kind = rng.choice([*orders, "hot"]), rng.choice([0, 1, 1, 2])
+        number = rng.randint(-70, 200) if key == "hot" else rng.choice([-3, 1, 2, 2**31 - 1])
+        amounts = [value(20180101, 20180105), None, None] if kind == 0 else [value(-50, 99) for _ in range(3)]
+        if kind == 2:
+            amounts[1:] = None, None
+        h = (zlib.crc32(key.encode()) - 2**31 << 20) + 5
+        file = rng.choice([(1, "a"), (1, "b"), (2, "A")])
+        rows.append([key, h, kind, number if kind else 0, *amounts, *file])
+    return rows
+
+
+def by_lots(processor, rows, tasks):
+    """Figures that a batch changes, by day, of rows that some tasks packed."""
+    values = []
+    for t in range(tasks):
+        some = rows[t * len(rows) // tasks : (t + 1) * len(rows) // tasks]
+        halves = [some[: len(some) // 2], some[len(some) // 2 :]]
+        batches = [pa.RecordBatch.from_pylist([dict(zip(NAMES, r)) for r in h], ARRIVING) for h in halves]
+        values += [row for batch in lots.packed(batches) for row in batch.to_pylist()]
+    assert {v["lot"] for v in values} == {5}
+    given = [{"days": r["days"]} for r in processor.handleInputRows((5,), iter(values), None)]
+    batch = pa.RecordBatch.from_pylist(given, pa.schema([pa.field("days", pa.binary())]))
+    return {tuple(r.values()) for b in days_of([batch]) for r in b.to_pylist()}
+
+
+def by_orders(processors, rows):
+    total = Counter()
+    for key in dict.fromkeys(r[0] for r in rows):
+        if key not in processors:
+            processors[key] = OrderParts()
+            processors[key].head, processors[key].parts = Held(), Held()
+        some = [dict(zip(NAMES, r)) for r in rows if r[0] == key]
+        for r in some:
+            r["kind"], r["day"] = lots.KINDS[r["kind"]], r["value"]
+        for change in processors[key].handleInputRows((key,), iter(some), None):
+            for measure, figure in zip(upkeep.SALES, change[1:]):
+                total[change[0], measure] += figure
+    days = {day: tuple(total[day, m] for m in upkeep.SALES) for day, _ in total}
+    return {(day, *figures) for day, figures in days.items() if any(figures)}
+
+
+@pytest.mark.parametrize("page, piece, packed", [(4096, 1 << 18, 1 << 19), (4, 16, 40)])
+def test_lots_of_orders_give_what_single_orders_give(monkeypatch, page, piece, packed):
+    for name, size in (("PAGE", page), ("PIECE", piece), ("PACKED", packed)):
+        monkeypatch.setattr(lots, name, size)
+    rng = random.Random(page)
+    processor, held = of_one_lot()
+    single = {}
+    for n in (30, 400, 5, 120):
+        rows = arriving(rng, [str(i) for i in range(40)] + ["Ä", ""], n)
+        assert by_lots(processor, rows, 3) == by_orders(single, rows)
+    heads, head_pages, parts, part_pages = processor.sizes.one
+    assert heads == len(single) and heads <= page * head_pages and parts <= page * part_pages
+    assert set(held[1].many) == {(i,) for i in range(head_pages)}
+    assert set(held[2].many) == {(i,) for i in range(part_pages)}
+
+
+def test_a_batch_asks_the_state_of_many_orders_a_few_times():
+    processor, held = of_one_lot()
+    rows = [
+        row
+        for i in range(500)
+        for row in ([str(i), 5, 0, 0, 20180101, None, None, 1, "f"], [str(i), 5, 1, 1, 150, 100, 50, 1, "f"])
+    ]
+    ((_, lines, orders, *_),) = by_lots(processor, rows, 2)
+    assert lines == orders == 500
+    assert sum(h.calls for h in held) <= 6
+    assert by_lots(processor, rows, 2) == set()  # the same again
+    assert sum(h.calls for h in held) <= 12
+
+
 def test_an_order_without_header_or_lines_gives_nothing():
     names = ("known", "day", "lines", "value", "value_n", "price", "price_n", "freight", "freight_n", "paid", "paid_n")
     head = dict.fromkeys(names, 0) | {"known": True, "day": 20180101}
