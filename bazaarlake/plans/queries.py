@@ -24,7 +24,7 @@ from bazaarlake.operators.schema import normalize_types
 from bazaarlake.operators.upsert import upsert, upsert_partitions
 from bazaarlake.plans import gold, insights, marts, reports, sketches, upkeep, views
 from bazaarlake.plans.pipeline import FACT_CLUSTERS, FACT_PARTITIONS
-from bazaarlake.session import SMALL_TASKS, durable, scratch_path, tune
+from bazaarlake.session import SMALL_TASKS, durable, scratch_path, settings, tune
 from bazaarlake.sources import catalog, zorder
 from bazaarlake.sources.bucketed import BucketedTable
 from bazaarlake.sources.csv_drop import full_load, incremental_load, read_csv, validate_layer
@@ -678,11 +678,13 @@ def stream_daily_mart(s: Sample) -> DataFrame:
     one = Window.partitionBy("order_id").orderBy(*RAW["order_items"].columns)
     lines = s.raw["order_items"].withColumn("order_item_id", F.row_number().over(one))
     tables = {**s.raw, "order_items": durable(lines, "numbered-lines")}
-    for drop in drops:
-        for name, wanted in drop.items():
-            rows = tables[name].filter(wanted)
-            rows.write.mode("append").csv(f"{folder}/{name}", header=True, escape='"')
-        start_daily_mart(lake, folder, checkpoint).awaitTermination()
+    # A task writes and parses no more CSV than takes a few seconds.
+    with settings(s.spark, {"spark.sql.files.maxPartitionBytes": "32m"}):
+        for drop in drops:
+            for name, wanted in drop.items():
+                rows = tables[name].filter(wanted)
+                rows.write.mode("append").csv(f"{folder}/{name}", header=True, escape='"')
+            start_daily_mart(lake, folder, checkpoint).awaitTermination()
     return daily_mart(lake)
 
 
